@@ -78,8 +78,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled sellers with the silhouette of their scaled features."""
     table = labelled(spark, sf_dir)
-    fitted = stage(scaling.fit_scaler(table, S.MODEL_FEATURES), "scaler")
-    points = scaling.with_points(table, S.MODEL_FEATURES, fitted)
+    points = scaling.with_points(table, scaling.fit_scaler(table, S.MODEL_FEATURES))
     return metrics.silhouette_squared(points).drop("features")
 
 
@@ -510,8 +509,8 @@ def daily_features_refreshed(spark, sf_dir):
     raw_path, path = new_path(spark, "raw"), new_path(spark, "daily")
     sinks.write_raw_listings(items(spark, sf_dir), raw_path)
     raw = spark.read.parquet(raw_path)
-    daily_job.refresh_daily_features(raw, path)
-    daily_job.refresh_daily_features(raw, path, DAILY_FROM)
+    daily_job.refresh_daily_features(raw, path, unit="month")
+    daily_job.refresh_daily_features(raw, path, DAILY_FROM, unit="month")
     return daily_job.read_daily_features(spark, path)
 
 
@@ -523,7 +522,7 @@ def daily_features_streamed(spark, sf_dir):
     late = F.col(S.CHANNEL) == "XD"
     for part in (table.where(~F.coalesce(late, F.lit(False))), table.where(late)):
         sinks.write_raw_listings(part, raw_path, mode="append")
-        daily_job.stream_daily_features(spark, raw_path, path, checkpoint).awaitTermination()
+        daily_job.stream_daily_features(spark, raw_path, path, checkpoint, unit="month").awaitTermination()
     return daily_job.read_daily_features(spark, path)
 
 

@@ -131,9 +131,9 @@ def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFra
     )
 
 
-def as_scalar(row: DataFrame) -> Column:
-    """A one-row table as a struct-valued scalar subquery."""
-    return row.select(F.struct(*row.columns).alias("_row")).scalar()
+def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:
+    """Give every row of ``df`` a one-row table as a struct column: one scalar subquery, no join."""
+    return df.withColumn(name, row.select(F.struct(*row.columns).alias("_row")).scalar())
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

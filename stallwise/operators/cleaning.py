@@ -11,11 +11,7 @@ from pyspark.sql import functions as F
 
 from stallwise import schema as S
 from stallwise.functions.columns import holds
-from stallwise.functions.quantiles import (
-    aggregate_with_quantiles,
-    as_scalar,
-    quantile_row,
-)
+from stallwise.functions.quantiles import aggregate_with_quantiles, quantile_row
 from stallwise.sources.staging import stage
 
 

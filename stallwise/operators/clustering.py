@@ -22,7 +22,7 @@ from stallwise.operators.metrics import (
     silhouette_euclidean,
     silhouette_squared,
 )
-from stallwise.operators.scaling import fit_scaler, model_features, with_points
+from stallwise.operators.scaling import FittedScaler, fit_scaler, model_features, with_points
 from stallwise.operators.summary import canonical_clusters
 from stallwise.sources.staging import stage
 
@@ -36,7 +36,7 @@ class Segmentation:
 
     sellers: DataFrame
     metrics: DataFrame
-    scaler: DataFrame
+    scaler: FittedScaler
     model: KMeansModel
     clusters: DataFrame
     features: list[str]
@@ -73,10 +73,10 @@ def fit_kmeans(
 
 def staged_points(
     sellers: DataFrame, features: Sequence[str], scaler: str, keep: Sequence[str] = (S.SELLER,)
-) -> tuple[DataFrame, DataFrame]:
-    """(points, fitted scaler), both staged; points sorted by seller within hash partitions."""
-    fitted = stage(fit_scaler(sellers, features, scaler), "scaler")
-    points = with_points(sellers, features, fitted).select(*keep, "features")
+) -> tuple[DataFrame, FittedScaler]:
+    """(staged points, fitted scaler); points are sorted by seller within hash partitions."""
+    fitted = fit_scaler(sellers, features, scaler)
+    points = with_points(sellers, fitted).select(*keep, "features")
     return stage(points.repartition(S.SELLER).sortWithinPartitions(S.SELLER), "points"), fitted
 
 
@@ -186,7 +186,7 @@ def renumbered(labelled: DataFrame, clusters: DataFrame) -> DataFrame:
 
 def score_sellers(fitted: Segmentation, sellers: DataFrame) -> DataFrame:
     """Assign other sellers to the clusters of a fitted segmentation."""
-    points = with_points(sellers, fitted.features, fitted.scaler)
+    points = with_points(sellers, fitted.scaler)
     return renumbered(labels(fitted.model, points, "_raw_cluster"), fitted.clusters).drop("features")
 
 

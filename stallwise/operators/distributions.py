@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwise import schema as S
-from stallwise.functions.quantiles import as_scalar
+from stallwise.functions.quantiles import with_row
 
 
-def _histogram(values: DataFrame, bins: int, edge) -> DataFrame:
+def _histogram(values: DataFrame, bins: int, edge: Callable[[Column], Column]) -> DataFrame:
     """Rows per equal-width bin of ``x``; the last bin includes the maximum."""
-    span = as_scalar(values.agg(F.min("x").alias("low"), F.max("x").alias("high")))
-    low, width = span["low"], (span["high"] - span["low"]) / bins
+    span = values.agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    low, width = F.col("_span.low"), (F.col("_span.high") - F.col("_span.low")) / bins
     position = F.coalesce(F.try_divide(F.col("x") - low, width), F.lit(0.0))
     number = F.least(F.floor(position), F.lit(bins - 1)).cast("int")
-    counts = values.groupBy(number.alias("_bin")).agg(F.count(F.lit(1)).alias("_records"))
-    every = values.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    counts = with_row(values, "_span", span).groupBy(number.alias("_bin")).agg(F.count(F.lit(1)).alias("_records"))
+    every = with_row(values.sparkSession.range(bins), "_span", span).select(F.col("id").cast("int").alias("bin"), "_span")
     return (
         every.join(F.broadcast(counts), F.col("bin") == F.col("_bin"), "left")
         .select(

@@ -22,7 +22,7 @@ from stallwise.functions.columns import (
     share,
 )
 from stallwise.functions.counts import distinct_per_key, most_frequent, value_counts
-from stallwise.functions.quantiles import aggregate_with_quantiles, as_scalar, quantile_row
+from stallwise.functions.quantiles import aggregate_with_quantiles, quantile_row, with_row
 
 
 def item_features(df: DataFrame) -> DataFrame:
@@ -141,8 +141,8 @@ def winsorized_features(
 ) -> DataFrame:
     """Cap each given column that exists at its quantile."""
     present = [c for c in (columns or S.WINSOR_COLUMNS) if c in sellers.columns]
-    caps = as_scalar(quantile_row(sellers, {c: (c, quantile) for c in present}))
-    return sellers.withColumns({c: capped(F.col(c).cast("double"), caps[c]) for c in present})
+    capping = with_row(sellers, "_cap", quantile_row(sellers, {c: (c, quantile) for c in present}))
+    return capping.withColumns({c: capped(F.col(c).cast("double"), F.col(f"_cap.{c}")) for c in present}).drop("_cap")
 
 
 def feature_checks(sellers: DataFrame) -> DataFrame:

@@ -1,18 +1,19 @@
 """Median imputation and scaling of model features.
 
-A fitted scaler is a small table (``feature``, ``fill``, ``center``, ``scale``):
-it can be written, read back and applied to other sellers.
+Fitting computes three numbers per feature on the cluster and keeps them, as any
+model keeps its parameters; applying is plain arithmetic on the columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise import schema as S
-from stallwise.functions.quantiles import as_scalar, column_quantiles, unpivoted
+from stallwise.functions.quantiles import column_quantiles, unpivoted
 
 # Spreads below this count as zero, and zero spreads divide by one.
 ZERO_SPREAD = 10 * 2.220446049250313e-16
@@ -26,39 +27,31 @@ def model_features(sellers: DataFrame, requested: Sequence[str] | None = None) -
     return features
 
 
-def fit_fills(sellers: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Median per feature, as ``feature``, ``fill``."""
-    return column_quantiles(sellers, features, [0.5]).select(
-        F.col("column").alias("feature"), F.col("value").alias("fill")
-    )
+def _by_feature(found: DataFrame, features: Sequence[str]) -> dict[str, tuple[float, ...]]:
+    """One short row per feature as a dict; a feature without values is an error."""
+    rows = {row[0]: tuple(row[1:]) for row in found.collect()}
+    empty = [f for f in features if f not in rows or rows[f][0] is None]
+    if empty:
+        raise ValueError(f"features without any value: {empty}")
+    return rows
 
 
-def _lookup(table: DataFrame, features: Sequence[str], column: str) -> Column:
-    """One number per feature from a long table, as a struct; a missing one is an error."""
-    row = table.agg(
-        *[
-            F.coalesce(
-                F.max(F.when(F.col("feature") == f, F.col(column))),
-                F.raise_error(F.lit(f"feature {f} has no values")).cast("double"),
-            ).alias(f)
-            for f in features
-        ]
-    )
-    return as_scalar(row)
+def fit_fills(sellers: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Median per feature."""
+    found = column_quantiles(sellers, features, [0.5]).select("column", "value")
+    return {f: median for f, (median,) in _by_feature(found, features).items()}
 
 
-def impute_features(sellers: DataFrame, features: Sequence[str], fills: DataFrame | None = None) -> DataFrame:
+def impute_features(sellers: DataFrame, features: Sequence[str], fills: dict[str, float] | None = None) -> DataFrame:
     """Fill missing feature values with the feature's median."""
-    fill = _lookup(fit_fills(sellers, features) if fills is None else fills, features, "fill")
-    return sellers.withColumns({f: F.coalesce(F.col(f).cast("double"), fill[f]) for f in features})
+    fills = fit_fills(sellers, features) if fills is None else fills
+    return sellers.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(fills[f])) for f in features})
 
 
 def _robust(filled: DataFrame, features: Sequence[str]) -> DataFrame:
-    quartile = {n: F.max(F.when(F.col("prob") == p, F.col("value"))) for n, p in (("q1", 0.25), ("q2", 0.5), ("q3", 0.75))}
-    found = column_quantiles(filled, features, [0.25, 0.5, 0.75])
-    return found.groupBy("column").agg(
-        quartile["q2"].alias("center"), (quartile["q3"] - quartile["q1"]).alias("spread")
-    )
+    at = {p: F.max(F.when(F.col("prob") == p, F.col("value"))) for p in (0.25, 0.5, 0.75)}
+    found = column_quantiles(filled, features, list(at))
+    return found.groupBy("column").agg(at[0.5].alias("center"), (at[0.75] - at[0.25]).alias("spread"))
 
 
 def _standard(filled: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -70,36 +63,55 @@ def _standard(filled: DataFrame, features: Sequence[str]) -> DataFrame:
 SCALERS: dict[str, Callable[[DataFrame, Sequence[str]], DataFrame]] = {"robust": _robust, "standard": _standard}
 
 
-def fit_scaler(sellers: DataFrame, features: Sequence[str], scaler: str = "robust") -> DataFrame:
-    """Fill, center and scale per feature.
+@dataclass(frozen=True)
+class FittedScaler:
+    """Fill, center and scale per feature."""
+
+    features: list[str]
+    fill: dict[str, float]
+    center: dict[str, float]
+    scale: dict[str, float]
+
+    def scaled(self, feature: str) -> Column:
+        value = F.coalesce(F.col(feature).cast("double"), F.lit(self.fill[feature]))
+        return (value - F.lit(self.center[feature])) / F.lit(self.scale[feature])
 
-    ``robust`` uses median and interquartile range, ``standard`` mean and
-    population standard deviation, both of the filled values.
-    """
+    def table(self, spark: SparkSession) -> DataFrame:
+        """The parameters as a table, to be written and read back."""
+        rows = [(f, self.fill[f], self.center[f], self.scale[f]) for f in self.features]
+        return spark.createDataFrame(rows, "feature string, fill double, center double, scale double")
+
+    @staticmethod
+    def from_table(table: DataFrame) -> FittedScaler:
+        rows = table.select("feature", "fill", "center", "scale").collect()
+        return FittedScaler([r[0] for r in rows], *({r[0]: r[i] for r in rows} for i in (1, 2, 3)))
+
+
+def fit_scaler(sellers: DataFrame, features: Sequence[str], scaler: str = "robust") -> FittedScaler:
+    """Fit by name: ``robust`` uses median and interquartile range, ``standard`` mean
+    and population standard deviation, both of the values after filling."""
     if scaler not in SCALERS:
         raise ValueError(f"scaler must be one of {sorted(SCALERS)}, not {scaler!r}")
     fills = fit_fills(sellers, features)
     fitted = SCALERS[scaler](impute_features(sellers, features, fills), features)
-    scale = F.when(F.col("spread") < ZERO_SPREAD, F.lit(1.0)).otherwise(F.col("spread"))
-    return fills.join(F.broadcast(fitted), F.col("feature") == F.col("column")).select(
-        "feature", "fill", "center", scale.alias("scale")
+    found = _by_feature(fitted.select("column", "center", "spread"), features)
+    return FittedScaler(
+        list(features),
+        fills,
+        {f: found[f][0] for f in features},
+        {f: found[f][1] if found[f][1] >= ZERO_SPREAD else 1.0 for f in features},
     )
 
 
-def apply_scaler(sellers: DataFrame, features: Sequence[str], fitted: DataFrame) -> DataFrame:
+def apply_scaler(sellers: DataFrame, fitted: FittedScaler) -> DataFrame:
     """Replace the features by their filled and scaled values."""
-    fill, center, scale = (_lookup(fitted, features, c) for c in ("fill", "center", "scale"))
-    return sellers.withColumns(
-        {f: (F.coalesce(F.col(f).cast("double"), fill[f]) - center[f]) / scale[f] for f in features}
-    )
+    return sellers.withColumns({f: fitted.scaled(f) for f in fitted.features})
 
 
 def scaled_features(sellers: DataFrame, features: Sequence[str], scaler: str = "robust") -> DataFrame:
-    return apply_scaler(sellers, features, fit_scaler(sellers, features, scaler))
+    return apply_scaler(sellers, fit_scaler(sellers, features, scaler))
 
 
-def with_points(sellers: DataFrame, features: Sequence[str], fitted: DataFrame) -> DataFrame:
+def with_points(sellers: DataFrame, fitted: FittedScaler) -> DataFrame:
     """Add ``features``: the scaled values of a row as one array."""
-    fill, center, scale = (_lookup(fitted, features, c) for c in ("fill", "center", "scale"))
-    point = [(F.coalesce(F.col(f).cast("double"), fill[f]) - center[f]) / scale[f] for f in features]
-    return sellers.withColumn("features", F.array(*point))
+    return sellers.withColumn("features", F.array(*[fitted.scaled(f) for f in fitted.features]))

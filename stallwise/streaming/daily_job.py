@@ -1,31 +1,43 @@
 """Keeping the daily seller features up to date, in batches or as a stream.
 
-The feature table is partitioned by day. A run recomputes whole days from the
-raw listings and replaces them, so running it again changes nothing.
+The feature table is partitioned by period, a day or a month. A run recomputes
+whole periods from the raw listings and replaces them, so running it again
+changes nothing.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stallwise import schema as S
-from stallwise.operators.daily import DAILY_COLUMNS, seller_daily_features, since
+from stallwise.operators.daily import DAILY_COLUMNS, seller_daily_features
+
+UNITS = ("day", "month")
+
+# Periods beyond this are joined, not listed, when raw rows are picked for a batch.
+MAX_LISTED_PERIODS = 1000
 
-# Days beyond this are joined, not listed, when raw rows are picked for a batch.
-MAX_LISTED_DAYS = 1000
 
+def _period(unit: str) -> Column:
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}, not {unit!r}")
+    return F.date_trunc(unit, F.col(S.DAY)).cast("date")
 
-def _replace_days(features: DataFrame, path: str) -> None:
-    """Replace the days present in ``features``; other days stay as they are."""
+
+def _replace_periods(features: DataFrame, path: str, unit: str) -> None:
+    """Replace the periods present in ``features``; other periods stay as they are."""
     (
-        features.repartition(S.DAY)
+        features.withColumn("period", _period(unit))
+        .repartition("period")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(S.DAY)
+        .partitionBy("period")
         .parquet(path)
     )
 
@@ -34,61 +46,73 @@ def read_daily_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*DAILY_COLUMNS)
 
 
-def _existing_days(spark: SparkSession, path: str) -> DataFrame | None:
-    """Days of the table, taken from its partitions."""
+def _stored_periods(spark: SparkSession, path: str) -> set[date]:
+    """Periods of the table: one value per partition, as many as the file listing has folders."""
     try:
-        return spark.read.parquet(path).select(S.DAY).distinct()
+        return {row[0] for row in spark.read.parquet(path).select("period").distinct().collect()}
     except AnalysisException:
-        return None
+        return set()
 
 
-def refresh_daily_features(raw: DataFrame, path: str, from_day: str | None = None) -> None:
-    """Recompute all days from ``from_day`` on (all history without one) and replace them.
+def refresh_daily_features(raw: DataFrame, path: str, from_day: str | None = None, unit: str = "day") -> None:
+    """Recompute the periods from ``from_day`` on (all history without one) and replace them.
 
-    Days that are in the table but no longer in the raw listings are removed, as
-    deleting the range before inserting would do.
+    ``unit`` is the size of a partition and of what is recomputed: days suit long
+    tables with much data per day, months suit sparse ones. Periods that are in
+    the table but no longer in the raw listings are removed, as deleting the
+    range before inserting would do.
     """
     spark = raw.sparkSession
-    stale = _existing_days(spark, path)
-    _replace_days(seller_daily_features(raw.where(F.col(S.DAY).isNotNull()), from_day), path)
-    if stale is not None:
-        kept = since(raw, from_day).select(S.DAY).distinct()
-        gone = since(stale, from_day).join(kept, S.DAY, "left_anti")
-        _remove_days(spark, path, gone)
-
-
-def _remove_days(spark: SparkSession, path: str, days: DataFrame) -> None:
-    """Drop day partitions. One row per day reaches the driver, as the file listing does."""
+    dated = raw.where(F.col(S.DAY).isNotNull())
+    if from_day is not None:
+        dated = dated.where(F.col(S.DAY) >= F.date_trunc(unit, F.to_date(F.lit(from_day))).cast("date"))
+    stored = _stored_periods(spark, path)
+    _replace_periods(seller_daily_features(dated), path, unit)
+    if stored:
+        present = {row[0] for row in dated.select(_period(unit)).distinct().collect()}
+        first = spark.range(1).select(F.date_trunc(unit, F.to_date(F.lit(from_day or "0001-01-01"))).cast("date")).first()[0]
+        _remove_periods(spark, path, [p for p in stored - present if p >= first])
+
+
+def _remove_periods(spark: SparkSession, path: str, periods: list[date]) -> None:
+    """Drop partitions that nothing in the raw listings supports any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    for row in days.toLocalIterator():
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"{S.DAY}={row[0].isoformat()}"), True)
+    for period in periods:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder, f"period={period.isoformat()}"), True)
 
 
-def _days_of(raw: DataFrame, batch: DataFrame) -> DataFrame:
-    """Raw rows of the days in ``batch``; few days become a filter that prunes partitions."""
-    days = batch.select(S.DAY).where(F.col(S.DAY).isNotNull()).distinct()
-    listed = [row[0] for row in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        raw = raw.where(F.col("month").isin([d.replace(day=1) for d in listed])) if "month" in raw.columns else raw
-        return raw.where(F.col(S.DAY).isin(listed))
-    return raw.join(days, S.DAY, "left_semi")
+def _in_periods_of(raw: DataFrame, batch: DataFrame, unit: str) -> DataFrame:
+    """Raw rows of the periods in ``batch``; a short list becomes a filter that prunes files."""
+    period = _period(unit)
+    periods = batch.select(period.alias("period")).where(F.col("period").isNotNull()).distinct()
+    listed = [row[0] for row in periods.limit(MAX_LISTED_PERIODS + 1).collect()]
+    if len(listed) > MAX_LISTED_PERIODS:
+        return raw.withColumn("period", period).join(F.broadcast(periods), "period", "left_semi").drop("period")
+    if "month" in raw.columns:
+        raw = raw.where(F.col("month").isin([p.replace(day=1) for p in listed]))
+    return raw.where(period.isin(listed))
 
 
 def stream_daily_features(
-    spark: SparkSession, raw_path: str, features_path: str, checkpoint: str, schema: T.StructType = S.LISTING_SCHEMA
+    spark: SparkSession,
+    raw_path: str,
+    features_path: str,
+    checkpoint: str,
+    schema: T.StructType = S.LISTING_SCHEMA,
+    unit: str = "day",
 ) -> StreamingQuery:
     """Process the raw files that arrived since the last run, then stop.
 
-    Each batch only tells which days changed; those days are recomputed from all
-    raw listings and replaced. Late rows thus correct their day, replays are
+    Each batch only tells which periods changed; those are recomputed from all
+    raw listings and replaced. Late rows thus correct their period, replays are
     harmless, and no state has to be kept for exact medians and distinct counts.
     """
     arriving = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(raw_path)
 
     def replace(batch: DataFrame, _: int) -> None:
-        raw = _days_of(batch.sparkSession.read.parquet(raw_path), batch)
-        _replace_days(seller_daily_features(raw), features_path)
+        raw = _in_periods_of(batch.sparkSession.read.parquet(raw_path), batch, unit)
+        _replace_periods(seller_daily_features(raw), features_path, unit)
 
     return (
         arriving.select(S.DAY)
