@@ -26,7 +26,7 @@ from stallwise.operators import (
 from stallwise.plans.segmentation import seller_table
 from stallwise.sources import listings, sinks
 from stallwise.sources.order_tables import items, items_with_repeats, text_items
-from stallwise.sources.staging import new_path, stage
+from stallwise.sources.staging import new_path, stage, stage_once
 from stallwise.streaming import daily_job
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,8 +64,8 @@ def in_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seller table, staged: the queries on it read it more than once."""
-    return stage(seller_table(items(spark, sf_dir)), "sellers")
+    """The seller table, written once per application: many queries start from it."""
+    return stage_once(spark, f"sellers of {sf_dir}", lambda: seller_table(items(spark, sf_dir)))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwise.sources.staging import stage
@@ -31,20 +31,18 @@ MAX_HOT_GROUPS = 100_000
 CELLS_PER_E_FOLD = 4096
 
 
-def _cell(value: Column) -> Column:
-    """A cell number that never decreases with the value."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * CELLS_PER_E_FOLD)).cast("long")
+# A cell number that never decreases with the value ``_v``.
+CELL = f"CAST(signum(_v) * floor(ln(1 + abs(_v)) * {CELLS_PER_E_FOLD}) AS BIGINT)"
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for a, b in pairs:
-        condition = condition & left[a].eqNullSafe(right[b])
-    return condition
+def _same(left: str, right: str, keys: Sequence[str], *others: str) -> Column:
+    """Join condition: equal keys, nulls included, and further equal columns."""
+    pairs = [f"{left}.`{k}` <=> {right}._k{i}" for i, k in enumerate(keys)]
+    return F.expr(" AND ".join([*pairs, *others]))
 
 
-def _holds_rank(rank: str) -> Column:
-    return (F.col(rank) > F.col("_upto") - F.col("_n") - 1) & (F.col(rank) < F.col("_upto"))
+def _numbered(keys: Sequence[str]) -> list[str]:
+    return [f"`{k}` AS _k{i}" for i, k in enumerate(keys)]
 
 
 def quantiles_of_few_groups(
@@ -57,60 +55,64 @@ def quantiles_of_few_groups(
     broadcast. Group size is unlimited. Null and NaN values are ignored; groups
     without values give no row.
     """
-    keys = list(keys)
-    v = F.col(value).cast("double")
-    rows = df.select(*keys, v.alias("_v"), _cell(v).alias("_cell")).where(v.isNotNull() & ~F.isnan(v))
+    quoted = [f"`{k}`" for k in keys]
+    group = ", ".join(quoted)
+    rows = (
+        df.selectExpr(*quoted, f"CAST(`{value}` AS DOUBLE) AS _v")
+        .where("_v IS NOT NULL AND NOT isnan(_v)")
+        .selectExpr(*quoted, "_v", f"{CELL} AS _cell")
+        .alias("r")
+    )
 
     # How many rows lie up to each cell, and so which cells hold a wanted rank.
-    group = Window.partitionBy(*keys)
-    position = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    at = F.col("prob") * (F.col("_total") - 1)
     asked = (
         rows.groupBy(*keys, "_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            *keys, "_cell", "_n",
-            F.sum("_n").over(group.orderBy("_cell")).alias("_upto"),
-            F.sum("_n").over(group).alias("_total"),
+        .agg(F.expr("count(1) AS _n"))
+        .selectExpr(
+            *quoted, "_cell", "_n",
+            f"sum(_n) OVER (PARTITION BY {group} ORDER BY _cell) - _n AS _before",
+            f"sum(_n) OVER (PARTITION BY {group}) - 1 AS _last",
         )
-        .select("*", position.alias("prob"))
-        .select("*", F.floor(at).alias("_lo"), F.ceil(at).alias("_hi"), (at - F.floor(at)).alias("_frac"))
-        .where(_holds_rank("_lo") | _holds_rank("_hi"))
-        .select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-            F.col("_cell").alias("_asked"),
-            (F.col("_upto") - F.col("_n")).alias("_before"),
-            "prob", "_lo", "_hi", "_frac",
+        .selectExpr("*", f"explode(array({', '.join(f'{float(p)!r}D' for p in probs)})) AS prob")
+        .selectExpr(
+            *_numbered(keys), "_cell AS _asked", "_n", "_before", "prob",
+            "floor(prob * _last) AS _lo", "ceil(prob * _last) AS _hi",
+            "prob * _last - floor(prob * _last) AS _frac",
         )
+        .where("_hi >= _before AND _lo < _before + _n")
+        .drop("_n")
     )
-    asked = F.broadcast(asked)
-    pairs = [*((k, f"_k{i}") for i, k in enumerate(keys)), ("_cell", "_asked")]
+    asked = F.broadcast(asked).alias("a")
 
     # The different values of those cells, with their numbers of rows, in order.
     # One hash partitioning by group serves the ranking and the final pick.
     near = (
-        rows.join(asked, _same(rows, asked, pairs), "left_semi")
+        rows.join(asked, _same("r", "a", keys, "_cell = _asked"), "left_semi")
         .groupBy(*keys, "_cell", "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .repartition(*[F.col(k) for k in keys])
-        .select("*", F.sum("_n").over(Window.partitionBy(*keys, "_cell").orderBy("_v")).alias("_in_cell"))
-    )
-    ranked = near.join(asked, _same(near, asked, pairs)).withColumn("_upto", F.col("_before") + F.col("_in_cell"))
-    picked = ranked.groupBy(*keys, "prob", "_frac").agg(
-        F.max(F.when(_holds_rank("_lo"), F.col("_v"))).alias("_at_lo"),
-        F.max(F.when(_holds_rank("_hi"), F.col("_v"))).alias("_at_hi"),
+        .agg(F.expr("count(1) AS _n"))
+        .repartition(*keys)
+        .selectExpr("*", f"sum(_n) OVER (PARTITION BY {group}, _cell ORDER BY _v) AS _upto")
+        .alias("n")
     )
-    between = F.col("_at_lo") + (F.col("_at_hi") - F.col("_at_lo")) * F.col("_frac")
-    return picked.select(
-        *keys, "prob",
-        F.when(F.col("_at_lo") == F.col("_at_hi"), F.col("_at_lo")).otherwise(between).alias("value"),
+    return (
+        near.join(asked, _same("n", "a", keys, "_cell = _asked"))
+        .selectExpr(*[f"n.`{k}`" for k in keys], "prob", "_lo", "_hi", "_frac", "_v", "_before + _upto AS _upto", "_n")
+        .groupBy(*keys, "prob", "_frac")
+        .agg(
+            F.expr("max(CASE WHEN _lo < _upto AND _lo >= _upto - _n THEN _v END) AS _at_lo"),
+            F.expr("max(CASE WHEN _hi < _upto AND _hi >= _upto - _n THEN _v END) AS _at_hi"),
+        )
+        .selectExpr(
+            *quoted, "prob",
+            "CASE WHEN _at_lo = _at_hi THEN _at_lo ELSE _at_lo + (_at_hi - _at_lo) * _frac END AS value",
+        )
     )
 
 
 def unpivoted(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """Long form (keys, ``column``, ``value``) of numeric columns."""
-    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    return df.select(*keys, F.inline(F.array(*cells)))
+    cells = [f"'{c}', CAST(`{c}` AS DOUBLE)" for c in columns]
+    return df.selectExpr(*[f"`{k}`" for k in keys], f"stack({len(columns)}, {', '.join(cells)}) AS (column, value)")
 
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -123,12 +125,12 @@ def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFra
     columns = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
     found = column_quantiles(df, columns, probs)
-    return found.agg(
-        *[
-            F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))), F.col("value"))).alias(name)
-            for name, (c, p) in wanted.items()
-        ]
-    )
+    return found.agg(*[F.expr(f"{_value_of(c, p)} AS `{name}`") for name, (c, p) in wanted.items()])
+
+
+def _value_of(column: str, prob: float) -> str:
+    """Aggregate expression: one quantile out of a long table of them."""
+    return f"max(CASE WHEN column = '{column}' AND prob = {float(prob)!r}D THEN value END)"
 
 
 def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:
@@ -144,11 +146,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > HOT_GROUP_ROWS)
-        .orderBy(F.desc("_n"))
+        .agg(F.expr("count(1) AS _rows"))
+        .where(F.col("_rows") > HOT_GROUP_ROWS)
+        .orderBy(F.desc("_rows"))
         .limit(MAX_HOT_GROUPS)
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.lit(True).alias("_hot"))
+        .selectExpr(*_numbered(keys), "true AS _hot")
     )
 
 
@@ -168,31 +170,29 @@ def aggregate_with_quantiles(
     keys = list(keys)
     hot = hot_keys(df, keys)
     if hot.isEmpty():
-        medians = [F.percentile(c, F.lit(float(p))).alias(name) for name, (c, p) in quantiles.items()]
-        return df.groupBy(*keys).agg(*aggregates, *medians)
+        return df.groupBy(*keys).agg(
+            *aggregates, *[F.expr(f"percentile(`{c}`, {float(p)!r}D) AS `{name}`") for name, (c, p) in quantiles.items()]
+        )
 
-    hot = F.broadcast(stage(hot, "hot-keys"))
-    pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
-    marked = df.join(hot, _same(df, hot, pairs), "left")
+    hot = F.broadcast(stage(hot, "hot-keys")).alias("h")
+    rows = df.alias("d")
     ordinary = [
-        F.percentile(F.when(F.col("_hot").isNull(), F.col(c)), F.lit(float(p))).alias(name)
+        F.expr(f"percentile(CASE WHEN _hot IS NULL THEN `{c}` END, {float(p)!r}D) AS `{name}`")
         for name, (c, p) in quantiles.items()
     ]
-    base = marked.groupBy(*keys).agg(*aggregates, *ordinary)
+    base = rows.join(hot, _same("d", "h", keys), "left").select("d.*", "_hot").groupBy(*keys).agg(*aggregates, *ordinary)
 
     columns = sorted({c for c, _ in quantiles.values()})
     probs = sorted({p for _, p in quantiles.values()})
-    hot_rows = df.join(hot, _same(df, hot, pairs), "left_semi")
+    hot_rows = rows.join(hot, _same("d", "h", keys), "left_semi")
     found = quantiles_of_few_groups(unpivoted(hot_rows, columns, keys), [*keys, "column"], "value", probs)
-    hot_values = found.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        *[
-            F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))), F.col("value"))).alias(f"_q_{name}")
-            for name, (c, p) in quantiles.items()
-        ]
+    hot_values = (
+        found.groupBy(*keys)
+        .agg(*[F.expr(f"{_value_of(c, p)} AS `_hot_{name}`") for name, (c, p) in quantiles.items()])
+        .selectExpr(*_numbered(keys), *[f"`_hot_{name}`" for name in quantiles])
     )
-    hot_values = F.broadcast(hot_values)
-    joined = base.join(hot_values, _same(base, hot_values, pairs), "left")
-    return joined.select(
-        *[base[c] for c in base.columns if c not in quantiles],
-        *[F.coalesce(base[n], F.col(f"_q_{n}")).alias(n) for n in quantiles],
+    joined = base.alias("b").join(F.broadcast(hot_values).alias("v"), _same("b", "v", keys), "left")
+    return joined.selectExpr(
+        *[f"`{c}`" for c in base.columns if c not in quantiles],
+        *[f"coalesce(`{n}`, `_hot_{n}`) AS `{n}`" for n in quantiles],
     )

@@ -15,26 +15,39 @@ from stallwise.functions.quantiles import aggregate_with_quantiles, quantile_row
 from stallwise.sources.staging import stage
 
 
-def reject_reason(columns: list[str]) -> Column:
-    """Why a listing cannot be used, reasons joined by `` | ``; empty if it can."""
-    rules = {
-        S.SELLER: (F.col(S.SELLER).isNull(), S.REJECT_NO_SELLER),
-        S.URL: (F.col(S.URL).isNull(), S.REJECT_NO_URL),
-        S.PRICE: (F.col(S.PRICE) <= 0, S.REJECT_BAD_PRICE),
-        S.STOCK: (F.col(S.STOCK) < 0, S.REJECT_BAD_STOCK),
-    }
-    return F.concat_ws(" | ", *[F.when(rule, F.lit(text)) for c, (rule, text) in rules.items() if c in columns])
+# Per column: what makes a listing unusable, the opposite, and the reason given.
+# Stated both ways so that filters reach the file scan as they are.
+CRITICAL_RULES = {
+    S.SELLER: (f"{S.SELLER} IS NULL", f"{S.SELLER} IS NOT NULL", S.REJECT_NO_SELLER),
+    S.URL: (f"{S.URL} IS NULL", f"{S.URL} IS NOT NULL", S.REJECT_NO_URL),
+    S.PRICE: (f"{S.PRICE} <= 0", f"({S.PRICE} IS NULL OR {S.PRICE} > 0)", S.REJECT_BAD_PRICE),
+    S.STOCK: (f"{S.STOCK} < 0", f"({S.STOCK} IS NULL OR {S.STOCK} >= 0)", S.REJECT_BAD_STOCK),
+}
+
+
+def _rules(df: DataFrame) -> list[tuple[str, str, str]]:
+    return [rule for column, rule in CRITICAL_RULES.items() if column in df.columns]
+
+
+def usable(df: DataFrame) -> Column:
+    """Whether a listing breaks no critical rule. Missing prices and stocks break none."""
+    return F.expr(" AND ".join([good for _, good, _ in _rules(df)]) or "true")
+
+
+def reject_reason(df: DataFrame) -> Column:
+    """The broken rules joined by `` | ``; empty if there are none."""
+    return F.concat_ws(" | ", *[F.when(F.expr(bad), F.lit(reason)) for bad, _, reason in _rules(df)])
 
 
 def split_critical_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable rows, rejected rows with ``error_reason``); together they are the input."""
-    tagged = df.withColumn("error_reason", reject_reason(df.columns))
-    return tagged.where(F.col("error_reason") == "").drop("error_reason"), tagged.where(F.col("error_reason") != "")
+    broken = F.expr(" OR ".join([bad for bad, _, _ in _rules(df)]) or "false")
+    return df.where(usable(df)), df.where(broken).withColumn("error_reason", reject_reason(df))
 
 
 def _split_above(df: DataFrame, limit: Column) -> tuple[DataFrame, DataFrame]:
-    above = holds(F.col(S.PRICE) > limit)
-    return df.where(~above), df.where(above)
+    price = F.col(S.PRICE)
+    return df.where(price.isNull() | (price <= limit)), df.where(price > limit)
 
 
 def split_price_above(df: DataFrame, threshold: float = S.MAX_PRICE) -> tuple[DataFrame, DataFrame]:
@@ -83,8 +96,8 @@ def impute_price(df: DataFrame, category: str = S.CATEGORY_ID) -> DataFrame:
 
 def clean_listings(df: DataFrame, max_price: float = S.MAX_PRICE) -> DataFrame:
     """The canonical cleaning chain: usable rows in price range, prices imputed."""
-    usable, _ = split_critical_errors(df)
-    in_range, _ = split_price_above(usable, max_price)
+    kept, _ = split_critical_errors(df)
+    in_range, _ = split_price_above(kept, max_price)
     return impute_price(in_range)
 
 
@@ -95,11 +108,10 @@ def deduplicate(df: DataFrame) -> DataFrame:
 
 def cleaning_funnel(df: DataFrame, max_price: float = S.MAX_PRICE) -> DataFrame:
     """Rows, missing prices and highest price after every cleaning step, from two scans."""
-    usable = F.col("_reason") == ""
-    in_range = usable & ~holds(F.col(S.PRICE) > float(max_price))
-    tagged = df.withColumn("_reason", reject_reason(df.columns))
-    steps = [("original", F.lit(True)), ("without_critical_errors", usable), ("in_price_range", in_range)]
-    counted = tagged.agg(
+    fine = usable(df)
+    in_range = fine & ~holds(F.col(S.PRICE) > float(max_price))
+    steps = [("original", F.lit(True)), ("without_critical_errors", fine), ("in_price_range", in_range)]
+    counted = df.agg(
         *[
             F.struct(
                 F.lit(i).alias("step"),

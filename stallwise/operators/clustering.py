@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -47,10 +47,10 @@ def fit_kmeans(
 ) -> dict[int, KMeansModel]:
     """For each k the model of lowest cost among ``n_init`` seeded fits.
 
-    Only centers and costs come to the driver; the points are read from the
-    staged table once and kept in executor memory, spilling to disk.
+    Only centers and costs come to the driver. Every fit reads the staged points
+    and keeps them in executor memory, spilling to disk, while it iterates.
     """
-    vectors = points.select(array_to_vector("features").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = points.select(array_to_vector("features").alias("vector"))
 
     @inheritable_thread_target(points.sparkSession)
     def fit(task: tuple[int, int]) -> tuple[int, float, KMeansModel]:
@@ -67,7 +67,6 @@ def fit_kmeans(
                 best[k] = (cost, model)
     finally:
         pool.close()
-        vectors.unpersist()
     return {k: model for k, (_, model) in sorted(best.items())}
 
 

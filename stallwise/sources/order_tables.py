@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stallwise.sources.staging import stage_once
+
 ITEM_EXPRESSIONS = {
     "tim_day": "CAST(l_shipdate AS DATE)",
     "seller_nickname": "CASE WHEN l_orderkey % 211 = 0 THEN NULL ELSE c_name END",
@@ -67,8 +69,8 @@ def _as_items(joined: DataFrame) -> DataFrame:
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line as a listing."""
-    return _as_items(_joined(spark, sf_dir))
+    """Every order line as a listing: a raw table, written once per application."""
+    return stage_once(spark, f"items of {sf_dir}", lambda: _as_items(_joined(spark, sf_dir)))
 
 
 def items_with_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

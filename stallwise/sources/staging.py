@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +38,14 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: dict[tuple[str, str], DataFrame] = {}
+
+
+def stage_once(spark: SparkSession, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The staged table ``key`` of this application, built and written on first use."""
+    known = (spark.sparkContext.applicationId, key)
+    if known not in _WRITTEN:
+        _WRITTEN[known] = stage(build(), "table")
+    return _WRITTEN[known]
