@@ -394,7 +394,7 @@ add(
 )
 add(
     "margin_alerts", f"{ITEMS}, {seller_ctes('items')}",
-    f"SELECT seller_nickname, {rounded('avg_discount_pct')} AS avg_discount_pct FROM features WHERE avg_discount_pct > 4e-1",
+    f"SELECT seller_nickname, {rounded('avg_discount_pct')} AS avg_discount_pct FROM features WHERE avg_discount_pct > 8e-2",
 )
 
 # --- Daily features ---------------------------------------------------------------------------

@@ -335,7 +335,8 @@ def feature_correlation(spark, sf_dir):
 
 @query
 def margin_alerts(spark, sf_dir):
-    return mart.margin_alerts(features.seller_features(items(spark, sf_dir))).select(S.SELLER, "avg_discount_pct")
+    """With a lower limit than the usual 40 %: discounts in these tables stay under 10 %."""
+    return mart.margin_alerts(features.seller_features(items(spark, sf_dir)), above=0.08).select(S.SELLER, "avg_discount_pct")
 
 
 # --- Scaling -------------------------------------------------------------------------

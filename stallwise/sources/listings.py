@@ -12,19 +12,23 @@ from pyspark.sql import types as T
 from stallwise import schema as S
 
 
-def read_listings_csv(spark: SparkSession, path: str, columns: Iterable[str] | None = None) -> DataFrame:
+def read_listings_csv(
+    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multi_line: bool = True
+) -> DataFrame:
     """Read a headed CSV snapshot as typed listings.
 
     Columns are matched by the file's own header, so a file with fewer, more or
     reordered columns is read as it is; nothing is inferred from the data.
-    ``columns`` names them beforehand and saves the look at the header.
+    ``columns`` names them beforehand and saves the look at the header. Titles may
+    contain line breaks; where they do not, ``multi_line=False`` lets one large
+    file be read by many tasks.
     """
     names = list(columns) if columns else _csv_header(spark, path)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = (
         spark.read.schema(text)
         .option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", False)

@@ -59,9 +59,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _on_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread a file of fewer splits than cores; larger inputs are left as they are read."""
+    """Spread a table of fewer files than cores; larger tables are left as they are read."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
 def _as_items(joined: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def _replace_periods(features: DataFrame, path: str, unit: str) -> None:
     """Replace the periods present in ``features``; other periods stay as they are."""
     (
         features.withColumn("period", _period(unit))
-        .repartition("period")
+        .hint("rebalance", F.col("period"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("period")
