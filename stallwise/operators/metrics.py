@@ -101,7 +101,8 @@ def silhouette_euclidean(points: DataFrame, id_column: str, block_rows: int = 20
     block = F.pmod(F.xxhash64(id_column), F.lit(blocks)).cast("int")
     numbered = points.select(F.col(id_column).alias("id"), "features", F.col("cluster").cast("long"), block.alias("block"))
     left = numbered.select("*", F.col("block").alias("a"), F.explode(F.sequence(F.col("block"), F.lit(blocks - 1))).alias("b"))
-    right = numbered.select("*", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("a"), F.col("block").alias("b"))
+    other = numbered.toDF(*numbered.columns)
+    right = other.select("*", F.explode(F.sequence(F.lit(0), F.col("block"))).alias("a"), F.col("block").alias("b"))
     id_type = numbered.schema["id"].dataType.simpleString()
     sums = (
         left.groupBy("a", "b")
