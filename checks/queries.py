@@ -117,7 +117,7 @@ def run_metadata(spark, sf_dir):
     table = items(spark, sf_dir)
     fitted = clustering.fit_segments(sellers(spark, sf_dir), n_init=RESTARTS)
     names = {number: name for number, name, *_ in summary.SEGMENTS}
-    return sinks.run_metadata(fitted.metrics, table, fitted.sellers, "MLM", sf_dir, 5, names)
+    return sinks.run_metadata(fitted.metrics, table, fitted.sellers, "MX", sf_dir, 5, names)
 
 
 # --- Predicates and cleaning -----------------------------------------------------

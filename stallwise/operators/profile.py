@@ -107,13 +107,14 @@ def column_profile(df: DataFrame, samples: int = 5, exact: bool = True) -> DataF
         F.sum(F.when(F.col("_text").isNull(), F.col("_records")).otherwise(0)).alias("_nulls"),
         F.count("_text").alias("_distinct"),
     )
-    # Nulls go last rather than away before, so that both branches share one shuffle.
+    # Nulls go last rather than away before, and the counts stay, so that both
+    # branches share one scan and shuffle.
     in_order = Window.partitionBy("column").orderBy(F.col("_text").isNull(), "_order", "_text")
     smallest = (
         values.withColumn("_rank", F.row_number().over(in_order))
         .where((F.col("_rank") <= samples) & F.col("_text").isNotNull())
         .groupBy(F.col("column").alias("_column"))
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "_text"))).alias("_samples"))
+        .agg(F.array_sort(F.collect_list(F.struct("_rank", "_text", "_records"))).alias("_samples"))
     )
     joined = totals.join(F.broadcast(smallest), F.col("column") == F.col("_column"), "left")
     texts = F.transform("_samples", lambda s: s["_text"])

@@ -37,7 +37,7 @@ def seller_table(items: DataFrame) -> DataFrame:
 
 def segment_listings(
     items: DataFrame,
-    site: str = "MLM",
+    site: str = "MX",
     source: str = "",
     k: int = 5,
     k_values: Iterable[int] = range(2, 9),
