@@ -27,7 +27,7 @@ from stallwise.operators.summary import canonical_clusters
 from stallwise.sources.staging import stage
 
 # Independent fits run side by side, so that short stages of one fill the gaps of another.
-PARALLEL_FITS = 8
+PARALLEL_FITS = 16
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ def evaluate_kmeans_range(
     labelled = stage(labelled.select(S.SELLER, "features", runs.alias("runs")), "labels")
     runs_of = labelled.select(S.SELLER, "features", F.inline("runs"))
 
-    geometry = cluster_geometry(runs_of, ["k"])
+    geometry = stage(cluster_geometry(runs_of, ["k"]), "geometry")
     inertia = points.sparkSession.createDataFrame(
         [(k, float(m.summary.trainingCost)) for k, m in models.items()], "k int, inertia double"
     )
@@ -143,10 +143,8 @@ def scaler_comparison(sellers: DataFrame, k: int = 5, seed: int = 42, n_init: in
 
 
 def _metrics(scored: DataFrame) -> DataFrame:
-    geometry = cluster_geometry(scored)
-    return scored.agg(
-        F.avg("sil_sample").alias("silhouette"),
-    ).select(
+    geometry = stage(cluster_geometry(scored), "geometry")
+    return scored.agg(F.avg("sil_sample").alias("silhouette")).select(
         "silhouette",
         davies_bouldin_of(geometry).scalar().alias("davies_bouldin"),
         calinski_harabasz_of(geometry).scalar().alias("calinski_harabasz"),
