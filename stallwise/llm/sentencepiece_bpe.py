@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -72,7 +72,7 @@ class SpaceCuts:
 class BpeEncoder:
     """Encoder for a SentencePiece BPE model without normalisation rules."""
 
-    def __init__(self, file: str, size: int = 250_000):
+    def __init__(self, file: str, size: int = 200_000):
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=file)
         plain = [
             i for i in range(model.get_piece_size())
@@ -220,8 +220,18 @@ def ids_sha256(ids: Column) -> Column:
     return digest(ids)
 
 
+def _coded(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
+    """Encode and decode in one pass; a text's ids are made once."""
+    one = encoder(file)
+    for batch in batches:
+        ids = one.encode(pc.fill_null(batch["text"], ""))
+        offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+        decoded = [one.decode(values[a:b]) for a, b in zip(offsets, offsets[1:])]
+        yield pa.RecordBatch.from_arrays([batch["id"], ids, pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
+
+
 def encoded_documents(docs: DataFrame, file: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``id``, ``ids``, ``decoded``: encoded whole and decoded again, one row per row."""
-    return docs.select(F.col(id).alias("id"), encode(F.col(text), file).alias("ids")).select(
-        F.col("id").alias(id), "ids", decode(F.col("ids"), file).alias("decoded")
-    )
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    schema = f"id {docs.schema[id].dataType.simpleString()}, ids array<int>, decoded string"
+    return rows.mapInArrow(lambda batches: _coded(batches, file), schema).withColumnRenamed("id", id)
