@@ -15,36 +15,29 @@ any order; an empty table gives empty files; other columns are not written.
 
 from __future__ import annotations
 
-import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stallwise.llm import word_cache
+from stallwise.llm.tokenizer_pieces import load, piecewise
 from stallwise.llm.word_cache import PieceCache
 
 SCHEMA = "doc_id long, part int, place long, part_start long, n_tokens int, ids array<int>"
-_ENCODERS: dict[str, PieceCache] = {}
+_ENCODERS: dict[str, tuple] = {}
 
 
-def encoder(file: str) -> PieceCache:
-    """The worker's encoder for a tokenizer file: pieces to little-endian 32-bit ids."""
+def encoder(file: str) -> tuple:
+    """The worker's cache of pieces' 32-bit ids and the cuts for a tokenizer file."""
     if file not in _ENCODERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        model = tokenizers.Tokenizer.from_file(file)
-        model.no_truncation()
-        model.no_padding()
-
-        def encode_many(parts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<i4").tobytes() for e in model.encode_batch_fast(parts, add_special_tokens=False)]
-
-        _ENCODERS[file] = PieceCache(encode_many, size=150_000)
+        cuts, encode_many = piecewise(load(file))
+        _ENCODERS[file] = PieceCache(lambda parts: (array("i", ids).tobytes() for ids in encode_many(parts)), size=200_000), cuts
     return _ENCODERS[file]
 
 
@@ -52,7 +45,7 @@ def _encode(batches: Iterator[pa.RecordBatch], file: str, end_id: int) -> Iterat
     part, place, start = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
         done = 0
-        for ids, starts in word_cache.token_ids(batch["text"], encoder(file), word_cache.BlankCuts()):
+        for ids, starts in word_cache.token_ids(batch["text"], *encoder(file)):
             lists = word_cache.framed(ids, starts, [], [end_id])
             rows, ends = len(lists), lists.offsets.to_numpy().astype(np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -52,7 +52,7 @@ class SpaceCuts:
     words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
     def __init__(self, bridged: set[str]):
-        letters = "abcdefghijklmnopqrstuvwxyz"
+        letters = [chr(c) for c in (*range(ord("a"), ord("z") + 1), *range(0xDF, 0x100)) if chr(c).isalpha()]
         self.after = {m: "".join(a for a in letters if a + m not in bridged) for m in ".,;:!?"}
         self.lines = not any("\n" in b for b in bridged)
 

@@ -20,7 +20,6 @@ table gives an empty result and appends nothing; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,10 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallwise.llm import word_cache
+from stallwise.llm.tokenizer_pieces import load, piecewise
 from stallwise.llm.word_cache import PieceCache
 
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens long"
-_COUNTERS: dict[str, PieceCache] = {}
+_COUNTERS: dict[str, tuple] = {}
 
 
 def tokenizer_digest(file: str) -> str:
@@ -41,25 +41,18 @@ def tokenizer_digest(file: str) -> str:
         return hashlib.sha256(f.read() + f"tokenizers {tokenizers.__version__}".encode()).hexdigest()
 
 
-def counter(file: str) -> PieceCache:
-    """The worker's counter for a tokenizer file."""
+def counter(file: str) -> tuple:
+    """The worker's cache of counts and the cuts for a tokenizer file."""
     if file not in _COUNTERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        model = tokenizers.Tokenizer.from_file(file)
-        model.no_truncation()
-        model.no_padding()
-
-        def count_many(parts: list[str]) -> list[int]:
-            return [len(e) for e in model.encode_batch_fast(parts, add_special_tokens=False)]
-
-        _COUNTERS[file] = PieceCache(count_many)
+        cuts, encode_many = piecewise(load(file))
+        _COUNTERS[file] = PieceCache(lambda parts: map(len, encode_many(parts))), cuts
     return _COUNTERS[file]
 
 
 def _count(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
-    count = counter(file)
+    count, cuts = counter(file)
     for batch in batches:
-        numbers = word_cache.count_tokens(batch["text"], count, word_cache.BlankCuts())
+        numbers = word_cache.count_tokens(batch["text"], count, cuts)
         yield pa.RecordBatch.from_arrays([batch["content_digest"], pa.array(numbers)], ["content_digest", "n_tokens"])
 
 

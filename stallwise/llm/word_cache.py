@@ -25,7 +25,7 @@ LONGEST = 64
 
 class BlankCuts:
     """Cuts before a space or newline that follows a character that is not blank,
-    around single newlines, and between an ASCII letter and a following mark.
+    around single newlines, and between a Latin letter and a following mark.
 
     Splitting patterns of byte-level and word-level tokenizers end a piece there,
     whatever follows. Runs of blanks and other blanks take the careful way.
@@ -36,7 +36,10 @@ class BlankCuts:
 
     def marked(self, texts: pa.Array) -> pa.Array:
         lines = pc.replace_substring(pc.replace_substring(texts, " ", MARK + " "), "\n", f"{MARK}\n{MARK}")
-        return pc.replace_substring_regex(lines, r"([A-Za-z])([.,;:!?])", rf"\1{MARK}\2")
+        return self.between_marks(lines)
+
+    def between_marks(self, texts: pa.Array) -> pa.Array:
+        return pc.replace_substring_regex(texts, "([A-Za-zÀ-ÖØ-öø-ÿ])([.,;:!?])", rf"\1{MARK}\2")
 
     def cut(self, text: str) -> list[str]:
         return self.careful.split(text)
