@@ -118,7 +118,7 @@ def assign_shards(
         .withColumn("shard", F.expr(f"(rank * {shards}) div _total"))
         .select(
             F.col("id").alias(id), "size", "text_crc32", *cells, "curve", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
-            F.expr(f"rank + ((-shard * _total) div {shards})").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+            F.expr(f"rank - ((shard * _total + {shards - 1}) div {shards})").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
         )
     )
 

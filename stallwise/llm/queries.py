@@ -26,7 +26,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Documents with at least this expected severity (0 to 2) are rejected.
-REJECT_FROM = 0.5
+REJECT_FROM = 0.25
 # Layout of conversation -7 below; it may also come from a file.
 ADDED_CONVERSATION = -7
 ADDED_TEXT = "\\### Assistant: </turn> ok"

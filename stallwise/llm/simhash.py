@@ -133,7 +133,7 @@ def spanning_links(fingerprints: DataFrame, max_distance: int = 3, segments: int
         as_row.unionByName(as_column)
         .groupBy(*keys, "r", "c")
         .agg(F.expr("collect_list(fp) FILTER (WHERE row) AS left"), F.expr("collect_list(fp) FILTER (WHERE NOT row) AS right"))
-        .where("size(left) > 0 AND size(left) + size(right) > 2")
+        .where("size(left) > 0 AND size(right) > 0 AND NOT (size(left) = 1 AND left = right)")
         .select("left", "right")
     )
     return blocks.mapInArrow(lambda batches: _forests(batches, max_distance), "a long, b long")

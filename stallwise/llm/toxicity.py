@@ -229,12 +229,12 @@ def severity(text: Column, model: Severity) -> Column:
     return score(text)
 
 
-def scored(docs: DataFrame, model: Severity, id: str = "doc_id", text: str = "text", reject_from: float = 0.5) -> DataFrame:
+def scored(docs: DataFrame, model: Severity, id: str = "doc_id", text: str = "text", reject_from: float = 0.25) -> DataFrame:
     """``id``, ``severity``, ``grade``, ``rejected`` (severity at least ``reject_from``)."""
     rows = docs.select(F.col(id).alias("id"), severity(F.col(text), model).alias("s"))
     return rows.select(F.col("id").alias(id), "s.severity", "s.grade", (F.col("s.severity") >= reject_from).alias("rejected"))
 
 
-def without_toxic(docs: DataFrame, model: Severity, text: str = "text", reject_from: float = 0.5) -> DataFrame:
+def without_toxic(docs: DataFrame, model: Severity, text: str = "text", reject_from: float = 0.25) -> DataFrame:
     """``docs`` without rejected rows; all columns stay."""
     return docs.where(severity(docs[text], model)["severity"] < reject_from)
