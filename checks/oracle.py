@@ -8,7 +8,7 @@ from stallwise import schema as S
 from stallwise.operators.audit import DEFAULT_CHECKS
 from stallwise.operators.features import SELLER_FEATURES
 from stallwise.operators.profile import PROFILE_PROBS
-from stallwise.operators.summary import SEGMENTS
+from checks.queries import SEGMENTS
 from stallwise.sources.order_tables import ITEM_COLUMNS, ITEM_EXPRESSIONS, REPEATED, TEXT_EXPRESSIONS
 
 ORACLE: dict[str, str] = {}

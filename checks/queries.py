@@ -33,8 +33,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DAILY_FROM = "1998-06-15 06:30:00"
-# Restarts per k in the queries; the operators' own default is 20.
-RESTARTS = 4
+# The bands of ``labelled``, named by the rule that makes them.
+BANDS = [(0, 30), (30, 36), (36, 42), (42, 50), (50, None)]
+SEGMENTS = [
+    (i, f"Band {i} — {low} listings or more" + (f", below {high}" if high else ""), str(i + 1), "not rated", "none planned")
+    for i, (low, high) in enumerate(BANDS)
+]
 CHANNELS = ["pct_fbm", "pct_xd", "pct_flex", "pct_ds"]
 CORRELATED = [f"log_{c}" for c in S.LOG_COLUMNS]
 
@@ -115,8 +119,8 @@ def coerce_types(spark, sf_dir):
 @query
 def run_metadata(spark, sf_dir):
     table = items(spark, sf_dir)
-    fitted = clustering.fit_segments(sellers(spark, sf_dir), n_init=RESTARTS)
-    names = {number: name for number, name, *_ in summary.SEGMENTS}
+    fitted = clustering.fit_segments(sellers(spark, sf_dir))
+    names = {number: name for number, name, *_ in SEGMENTS}
     return sinks.run_metadata(fitted.metrics, table, fitted.sellers, "MX", sf_dir, 5, names)
 
 
@@ -394,28 +398,28 @@ def cluster_max_pct(spark, sf_dir):
 
 @query
 def kmeans_evaluation(spark, sf_dir):
-    return clustering.evaluate_kmeans_range(sellers(spark, sf_dir), n_init=RESTARTS)
+    return clustering.evaluate_kmeans_range(sellers(spark, sf_dir))
 
 
 @query
 def scaler_comparison(spark, sf_dir):
-    return clustering.scaler_comparison(sellers(spark, sf_dir), n_init=RESTARTS)
+    return clustering.scaler_comparison(sellers(spark, sf_dir))
 
 
 @query
 def kmeans_labels(spark, sf_dir):
-    return clustering.fit_segments(sellers(spark, sf_dir), n_init=RESTARTS).sellers.select(S.SELLER, "cluster")
+    return clustering.fit_segments(sellers(spark, sf_dir)).sellers.select(S.SELLER, "cluster")
 
 
 @query
 def seller_clusters(spark, sf_dir):
-    return clustering.fit_segments(sellers(spark, sf_dir), n_init=RESTARTS).sellers
+    return clustering.fit_segments(sellers(spark, sf_dir)).sellers
 
 
 @query
 def score_new_sellers(spark, sf_dir):
     """Segments fitted on clean listings, applied to sellers as they come."""
-    fitted = clustering.fit_segments(sellers(spark, sf_dir), n_init=RESTARTS)
+    fitted = clustering.fit_segments(sellers(spark, sf_dir))
     others = features.log_features(features.seller_features(items(spark, sf_dir)))
     return clustering.score_sellers(fitted, others).select(S.SELLER, "cluster")
 
@@ -465,13 +469,13 @@ def bubble_sizes(spark, sf_dir):
 
 @query
 def segment_names(spark, sf_dir):
-    return summary.segment_names(labelled(spark, sf_dir), summary.segment_table(spark))
+    return summary.segment_names(labelled(spark, sf_dir), summary.segment_table(spark, SEGMENTS))
 
 
 @query
 def cluster_payload_json(spark, sf_dir):
     table = summary.cluster_summary(labelled(spark, sf_dir))
-    return summary.cluster_payload_json(table, summary.segment_table(spark))
+    return summary.cluster_payload_json(table, summary.segment_table(spark, SEGMENTS))
 
 
 @query
@@ -487,7 +491,7 @@ def seller_strategy_mart(spark, sf_dir):
         labelled(spark, sf_dir).select(S.SELLER, "cluster"),
         facts.withColumnRenamed("c_name", "_seller"),
         visits.withColumnRenamed("c_name", "_visited"),
-        summary.segment_table(spark),
+        summary.segment_table(spark, SEGMENTS),
     )
 
 

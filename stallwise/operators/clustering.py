@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -22,7 +23,7 @@ from stallwise.operators.metrics import (
     silhouette_euclidean,
     silhouette_squared,
 )
-from stallwise.operators.scaling import FittedScaler, fit_scaler, model_features, with_points
+from stallwise.operators.scaling import FittedScaler, fit_fills, fit_scaler, model_features, with_points
 from stallwise.operators.summary import canonical_clusters
 from stallwise.sources.staging import stage
 
@@ -47,27 +48,33 @@ def fit_kmeans(
 ) -> dict[int, KMeansModel]:
     """For each k the model of lowest cost among ``n_init`` seeded fits.
 
-    Only centers and costs come to the driver. Every fit reads the staged points
-    and keeps them in executor memory, spilling to disk, while it iterates.
+    Only centers and costs come to the driver. All fits share one cached copy of
+    the vectors, in executor memory or on executor disks; a lost part is read
+    again from the staged points. Of equal costs the first attempt wins. A best
+    fit that used all ``max_iter`` steps is reported by a warning.
     """
-    vectors = points.select(array_to_vector("features").alias("vector"))
+    vectors = points.select(array_to_vector("features").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK)
 
     @inheritable_thread_target(points.sparkSession)
-    def fit(task: tuple[int, int]) -> tuple[int, float, KMeansModel]:
+    def fit(task: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
         k, attempt = task
         model = KMeans(featuresCol="vector", predictionCol="cluster", k=k, seed=seed + attempt, maxIter=max_iter).fit(vectors)
-        return k, model.summary.trainingCost, model
+        return k, model.summary.trainingCost, attempt, model
 
     tasks = [(k, attempt) for k in k_values for attempt in range(n_init)]
-    best: dict[int, tuple[float, KMeansModel]] = {}
+    best: dict[int, tuple[float, int, KMeansModel]] = {}
     pool = ThreadPool(min(PARALLEL_FITS, len(tasks)))
     try:
-        for k, cost, model in pool.imap_unordered(fit, tasks):
-            if k not in best or cost < best[k][0]:
-                best[k] = (cost, model)
+        for k, cost, attempt, model in pool.imap_unordered(fit, tasks):
+            if k not in best or (cost, attempt) < best[k][:2]:
+                best[k] = (cost, attempt, model)
     finally:
         pool.close()
-    return {k: model for k, (_, model) in sorted(best.items())}
+        vectors.unpersist()
+    for k, (_, attempt, model) in sorted(best.items()):
+        if model.summary.numIter >= max_iter:
+            warnings.warn(f"k={k}, attempt {attempt}: not converged after {max_iter} steps", stacklevel=2)
+    return {k: model for k, (_, _, model) in sorted(best.items())}
 
 
 def staged_points(
@@ -188,14 +195,17 @@ def score_sellers(fitted: Segmentation, sellers: DataFrame) -> DataFrame:
 
 
 def pca_features(sellers: DataFrame, columns: Sequence[str], components: int = 2) -> DataFrame:
-    """Principal components of (correlated) columns, as ``pc1`` ...; rows without nulls only.
+    """Principal components of (correlated) columns, as ``pc1`` ..., for every row.
 
-    The fit holds one small matrix of columns by columns.
+    Missing values are filled with the column's median. The sign of a component is
+    that of its largest loading. The fit holds one small matrix of columns by columns.
     """
-    vectors = sellers.dropna(subset=list(columns)).withColumn(
-        "vector", array_to_vector(F.array(*[F.col(c).cast("double") for c in columns]))
-    )
+    fills = fit_fills(sellers, columns)
+    filled = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(fills[c])) for c in columns])
+    vectors = sellers.withColumn("vector", array_to_vector(filled))
     model = PCA(k=components, inputCol="vector", outputCol="components").fit(vectors)
     parts = vector_to_array("components")
     found = model.transform(vectors)
-    return found.withColumns({f"pc{i + 1}": parts[i] for i in range(components)}).drop("vector", "components")
+    loadings = model.pc.toArray()
+    sign = [1.0 if loadings[abs(loadings[:, i]).argmax(), i] >= 0 else -1.0 for i in range(components)]
+    return found.withColumns({f"pc{i + 1}": parts[i] * sign[i] for i in range(components)}).drop("vector", "components")

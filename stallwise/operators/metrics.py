@@ -61,30 +61,25 @@ def _coefficient(own: Column, nearest: Column, own_size: Column) -> Column:
 def silhouette_squared(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add ``sil_sample``, the silhouette under squared Euclidean distance.
 
-    The mean squared distance of x to a cluster follows from the cluster's size,
-    sum and sum of squares: (n |x|^2 + q - 2 x.s) / n. Cost grows with rows times
-    clusters.
+    The mean squared distance of x to a cluster is |x - c|^2 + within / n, with its
+    centroid c and its sum of squares around it: nothing cancels, far from the
+    origin either. Cost grows with rows times clusters, and every row meets the
+    list of all clusters of its labelling: made for a bounded number of clusters.
     """
-    rows = _with_list(points, cluster_sums(points, by), by, "_clusters")
-    x = F.col("features")
+    rows = _with_list(points, cluster_geometry(points, by), by, "_clusters")
     totals = F.transform(
         "_clusters",
         lambda c: F.struct(
             c["cluster"].alias("cluster"),
             c["n"].alias("n"),
-            (c["n"] * F.col("_norm") + c["q"] - 2.0 * _dot(x, c["s"])).alias("d"),
+            (c["n"] * _squared_distance(F.col("features"), c["centroid"]) + c["within"]).alias("d"),
         ),
     )
     own = F.filter("_totals", lambda t: t["cluster"] == F.col("cluster"))[0]
     others = F.filter("_totals", lambda t: t["cluster"] != F.col("cluster"))
     a = F.try_divide(own["d"], (own["n"] - 1).cast("double"))
     b = F.array_min(F.transform(others, lambda t: t["d"] / t["n"]))
-    return (
-        rows.withColumn("_norm", _dot(x, x))
-        .withColumn("_totals", totals)
-        .withColumn("sil_sample", _coefficient(a, b, own["n"]))
-        .drop("_clusters", "_norm", "_totals")
-    )
+    return rows.withColumn("_totals", totals).withColumn("sil_sample", _coefficient(a, b, own["n"])).drop("_clusters", "_totals")
 
 
 def silhouette_euclidean(points: DataFrame, id_column: str, block_rows: int = 2000) -> DataFrame:
@@ -133,7 +128,16 @@ def _block_distance_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFram
     if left.empty or right.empty:
         return empty
     x, y = np.stack(left["features"]), np.stack(right["features"])
-    squared = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :] - 2.0 * x @ y.T
+    # Distances do not change when both sides move; near the origin the product form is exact
+    # but for close pairs, which are taken directly.
+    center = x.mean(0)
+    x, y = x - center, y - center
+    norms = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :]
+    squared = norms - 2.0 * x @ y.T
+    a, b = np.nonzero(squared <= 1e-6 * norms)
+    for at in range(0, len(a), 100_000):
+        i, j = a[at : at + 100_000], b[at : at + 100_000]
+        squared[i, j] = ((x[i] - y[j]) ** 2).sum(1)
     distance = np.sqrt(np.maximum(squared, 0.0))
     same_block = left["block"].iloc[0] == right["block"].iloc[0]
     if same_block:

@@ -18,7 +18,8 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
 
 
-def categorical_columns(df: DataFrame, max_columns: int = 20) -> list[str]:
+def categorical_columns(df: DataFrame, max_columns: int | None = None) -> list[str]:
+    """Text and boolean columns, all of them unless a number is asked for."""
     kinds = (T.StringType, T.BooleanType)
     return [f.name for f in df.schema if isinstance(f.dataType, kinds)][:max_columns]
 
@@ -179,7 +180,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     )
 
 
-def categorical_profile(df: DataFrame, max_columns: int = 20, top_n: int = 10) -> DataFrame:
+def categorical_profile(df: DataFrame, max_columns: int | None = None, top_n: int = 10) -> DataFrame:
     """Most frequent values per text or boolean column; null is shown as ``<NULL>``.
 
     The limit per column is applied before the values meet in one task.

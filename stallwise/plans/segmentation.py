@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -17,7 +17,6 @@ from stallwise.operators.clustering import evaluate_kmeans_range, fit_segments
 from stallwise.operators.features import feature_checks, log_features, seller_features
 from stallwise.operators.profile import dataset_overview
 from stallwise.operators.summary import (
-    SEGMENTS,
     cluster_payload_json,
     cluster_profile,
     cluster_summary,
@@ -44,19 +43,21 @@ def segment_listings(
     n_init: int = 20,
     distance: str = "squared",
     max_price: float = S.MAX_PRICE,
+    segments: Sequence[tuple] = (),
 ) -> dict[str, DataFrame]:
     """Every result of the flow by name.
 
     The seller table, the smallest product that everything after it reads
-    repeatedly, is staged once; everything before it stays lazy.
+    repeatedly, is staged once; everything before it stays lazy. ``segments`` names
+    clusters as in ``segment_table``; clusters it leaves out have no name.
     """
     spark = items.sparkSession
     _, rejected = split_critical_errors(items)
     sellers = stage(log_features(seller_features(clean_listings(items, max_price))), "sellers")
     fitted = fit_segments(sellers, k, n_init=n_init, distance=distance)
-    segments = segment_table(spark)
+    named = segment_table(spark, list(segments))
     summary = cluster_summary(fitted.sellers, fitted.features)
-    names = {number: name for number, name, *_ in SEGMENTS if number < k}
+    names = {number: name for number, name, *_ in segments if number < k}
     return {
         "dataset_overview": dataset_overview(items),
         "quality_audit": quality_audit(items),
@@ -72,8 +73,8 @@ def segment_listings(
         "cluster_profile": cluster_profile(fitted.sellers),
         "silhouette_by_cluster": silhouette_by_cluster(fitted.sellers),
         "mean_cluster_silhouette": mean_cluster_silhouette(fitted.sellers),
-        "segment_names": segment_names(fitted.sellers, segments),
-        "cluster_payload_json": cluster_payload_json(summary, segments),
+        "segment_names": segment_names(fitted.sellers, named),
+        "cluster_payload_json": cluster_payload_json(summary, named),
         "run_metadata": sinks.run_metadata(fitted.metrics, items, fitted.sellers, site, source, k, names),
     }
 

@@ -87,14 +87,6 @@ MODEL_FEATURES = [
     "has_reputation",
 ]
 
-# The same model without logarithms.
-RAW_MODEL_FEATURES = [
-    "items_count", "unique_urls", "total_stock", "avg_stock", "median_stock",
-    "avg_price", "median_price", "pct_items_with_discount", "avg_discount_pct",
-    "categories_count", "pct_fbm", "pct_xd", "pct_flex", "pct_ds", "pct_new",
-    "pct_refurbished", "seller_reputation_score", "has_reputation",
-]
-
 # Columns averaged in a cluster profile.
 PROFILE_COLUMNS = [
     "median_price", "items_count", "pct_fbm", "pct_xd", "pct_ds",

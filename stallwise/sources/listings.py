@@ -12,16 +12,21 @@ from pyspark.sql import types as T
 from stallwise import schema as S
 
 
+# Decimal numbers: no type suffixes, no hexadecimal digits.
+DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def read_listings_csv(
-    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, columns: Iterable[str] | None = None, multi_line: bool = False
 ) -> DataFrame:
     """Read a headed CSV snapshot as typed listings.
 
     Columns are matched by the file's own header, so a file with fewer, more or
     reordered columns is read as it is; nothing is inferred from the data.
-    ``columns`` names them beforehand and saves the look at the header. Titles may
-    contain line breaks; where they do not, ``multi_line=False`` lets one large
-    file be read by many tasks.
+    ``columns`` names them beforehand and saves the look at the header. Large files
+    are read by many tasks; ``multi_line=True`` is for files with line breaks inside
+    quoted texts and makes each file one task. A row with more or fewer fields
+    than the header is an error.
     """
     names = list(columns) if columns else _csv_header(spark, path)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -29,6 +34,7 @@ def read_listings_csv(
         spark.read.schema(text)
         .option("header", True)
         .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", False)
@@ -69,9 +75,10 @@ def drop_nan(df: DataFrame) -> DataFrame:
 
 
 def number(column: str) -> Column:
-    """The column as a double; text that is no number, and NaN, become null."""
-    value = F.col(column).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    """The column as a double; text that is no finite decimal number, and NaN, become null."""
+    text = F.trim(F.col(column).cast("string"))
+    value = F.when(text.rlike(DECIMAL), text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def flag(column: str) -> Column:
@@ -89,7 +96,9 @@ def coerce_types(df: DataFrame) -> DataFrame:
         if column in df.columns:
             typed[column] = number(column)
     if S.STOCK in df.columns:
-        typed[S.STOCK] = number(S.STOCK).try_cast("bigint")
+        # A fraction of an item is no stock: null, not cut to a whole number.
+        stock = number(S.STOCK)
+        typed[S.STOCK] = F.when(stock == F.floor(stock), stock.try_cast("bigint"))
     if "is_refurbished" in df.columns:
         typed["is_refurbished"] = flag("is_refurbished")
     return df.withColumns(typed)

@@ -51,19 +51,13 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four tables joined; sizes decide the join strategies, nothing is hinted."""
     table = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "customer", "part")}
     return (
-        _on_all_cores(table["lineitem"], "l_orderkey")
+        table["lineitem"]
         .join(table["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table["customer"], F.col("o_custkey") == F.col("c_custkey"))
         .join(table["part"], F.col("l_partkey") == F.col("p_partkey"))
     )
 
 
-def _on_all_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread a table of fewer files than cores; larger tables are left as they are read."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def _as_items(joined: DataFrame) -> DataFrame:
     return joined.select(*[F.expr(ITEM_EXPRESSIONS[c]).alias(c) for c in ITEM_COLUMNS])
 

@@ -20,9 +20,6 @@ from stallwise.operators.daily import DAILY_COLUMNS, seller_daily_features
 
 UNITS = ("day", "month")
 
-# Periods beyond this are joined, not listed, when raw rows are picked for a batch.
-MAX_LISTED_PERIODS = 1000
-
 
 def _period(unit: str) -> Column:
     if unit not in UNITS:
@@ -83,14 +80,11 @@ def _remove_periods(spark: SparkSession, path: str, periods: list[date]) -> None
 
 
 def _in_periods_of(raw: DataFrame, batch: DataFrame, unit: str) -> DataFrame:
-    """Raw rows of the periods in ``batch``; a short list becomes a filter that prunes files."""
+    """Raw rows of the periods in ``batch``; the list, one entry per partition, prunes files."""
     period = _period(unit)
-    periods = batch.select(period.alias("period")).where(F.col("period").isNotNull()).distinct()
-    listed = [row[0] for row in periods.limit(MAX_LISTED_PERIODS + 1).collect()]
-    if len(listed) > MAX_LISTED_PERIODS:
-        return raw.withColumn("period", period).join(F.broadcast(periods), "period", "left_semi").drop("period")
+    listed = [row[0] for row in batch.select(period.alias("period")).where(F.col("period").isNotNull()).distinct().collect()]
     if "month" in raw.columns:
-        raw = raw.where(F.col("month").isin([p.replace(day=1) for p in listed]))
+        raw = raw.where(F.col("month").isin(sorted({p.replace(day=1) for p in listed})))
     return raw.where(period.isin(listed))
 
 

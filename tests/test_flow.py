@@ -26,7 +26,7 @@ def test_csv_is_typed_and_never_fails(spark, tmp_path):
         ",null,t,2.0,,12,perhaps,y\n",
         encoding="utf-8",
     )
-    df = source.read_listings_csv(spark, str(path))
+    df = source.read_listings_csv(spark, str(path), multi_line=True)
     found = [tuple(r) for r in df.collect()]
     assert found == [
         (D(2024, 8, 1), "ann", 'two\nlines, "quoted"', 3, 10.5, None, True, "x"),
