@@ -15,7 +15,7 @@ in place of fixed offsets.
 
 Scale: the benchmark is read as a stream and processed in blocks of at most
 ``block_words`` words, each a distributed job; what is broadcast is one block.
-A segment holds at most ``SEGMENT`` bytes of text, or one longer text, so tasks are
+A segment holds about ``word_cache.SLICE`` bytes of text, or one longer text, so tasks are
 even whatever terms, documents or copies are frequent. Matches are one row per
 maximal run of an item's windows in a document, not one per window.
 
@@ -45,8 +45,6 @@ from stallwise.sources.staging import new_path
 
 # Everything between words: ASCII characters other than digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# Bytes of text in a segment.
-SEGMENT = 8 << 20
 # Unused positions between documents: longer than any window or distance asked for.
 ROOM = 1024
 TERMS_PER_BATCH = 50_000
