@@ -33,8 +33,7 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of whole texts, with digests of the ids and of the decoded text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentencepiece_bpe.encoded_documents(docs, model)
-    return queries.digests(encoded)
+    return sentencepiece_bpe.encoded_digests(docs, model)
 
 
 STAGES = [

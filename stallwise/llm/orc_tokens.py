@@ -37,7 +37,7 @@ def encoder(file: str) -> tuple:
     """The worker's cache of pieces' 32-bit ids and the cuts for a tokenizer file."""
     if file not in _ENCODERS:
         cuts, encode_many = piecewise(load(file))
-        _ENCODERS[file] = PieceCache(lambda parts: (array("i", ids).tobytes() for ids in encode_many(parts)), size=200_000), cuts
+        _ENCODERS[file] = PieceCache(lambda parts: (array("i", ids).tobytes() for ids in encode_many(parts)), size=120_000), cuts
     return _ENCODERS[file]
 
 

@@ -87,14 +87,7 @@ def op5_hilbert_shards(spark, sf_dir):
 @query
 def op6_sentencepiece(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return digests(sentencepiece_bpe.encoded_documents(table(spark, sf_dir, "documents"), model))
-
-
-def digests(encoded: DataFrame) -> DataFrame:
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), sentencepiece_bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    return sentencepiece_bpe.encoded_digests(table(spark, sf_dir, "documents"), model)
 
 
 @query

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from stallwise.llm.word_cache import MARK, PieceCache, framed, token_ids
 
 SPACE = "▁"
-PAIRS_HELD = 500_000
+PAIRS_HELD = 300_000
 
 
 class SpaceCuts:
@@ -72,7 +72,7 @@ class SpaceCuts:
 class BpeEncoder:
     """Encoder for a SentencePiece BPE model without normalisation rules."""
 
-    def __init__(self, file: str, size: int = 200_000):
+    def __init__(self, file: str, size: int = 120_000):
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=file)
         plain = [
             i for i in range(model.get_piece_size())
@@ -167,10 +167,14 @@ class BpeEncoder:
     def _encode_pieces(self, parts: list[str]) -> Iterable[bytes]:
         return (self._ids(self.split(part)) for part in parts)
 
-    def encode(self, texts: pa.Array) -> pa.ListArray:
-        """Ids of whole texts, begin and end included."""
+    def encode_slices(self, texts: pa.Array) -> Iterator[pa.ListArray]:
+        """Ids of whole texts, begin and end included, some texts at a time."""
         marked = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(SPACE, texts, ""))
-        parts = [framed(*part, [self.bos], [self.eos]) for part in token_ids(marked, self.cache, self.cuts)]
+        for part in token_ids(marked, self.cache, self.cuts):
+            yield framed(*part, [self.bos], [self.eos])
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        parts = list(self.encode_slices(texts))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     def decode(self, ids: np.ndarray) -> str:
@@ -221,13 +225,25 @@ def ids_sha256(ids: Column) -> Column:
 
 
 def _coded(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBatch]:
-    """Encode and decode in one pass; a text's ids are made once."""
+    """Encode and decode in one pass, in small batches; a text's ids are made once."""
     one = encoder(file)
     for batch in batches:
-        ids = one.encode(pc.fill_null(batch["text"], ""))
-        offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
-        decoded = [one.decode(values[a:b]) for a, b in zip(offsets, offsets[1:])]
-        yield pa.RecordBatch.from_arrays([batch["id"], ids, pa.array(decoded, pa.string())], ["id", "ids", "decoded"])
+        done = 0
+        for ids in one.encode_slices(pc.fill_null(batch["text"], "")):
+            offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+            decoded = pa.array([one.decode(values[a:b]) for a, b in zip(offsets, offsets[1:])], pa.string())
+            yield pa.RecordBatch.from_arrays([batch["id"].slice(done, len(ids)), ids, decoded], ["id", "ids", "decoded"])
+            done += len(ids)
+
+
+def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts and digests of encoded documents."""
+    for batch in batches:
+        offsets, values = batch["ids"].offsets.to_numpy(), batch["ids"].values.to_numpy()
+        ids = [hashlib.sha256(np.ascontiguousarray(values[a:b], "<i4")).hexdigest() for a, b in zip(offsets, offsets[1:])]
+        texts = [hashlib.sha256(t.as_buffer()).hexdigest() for t in batch["decoded"]]
+        columns = [batch["id"], pa.array(np.diff(offsets).astype(np.int64)), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
 def encoded_documents(docs: DataFrame, file: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,3 +251,10 @@ def encoded_documents(docs: DataFrame, file: str, id: str = "doc_id", text: str
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     schema = f"id {docs.schema[id].dataType.simpleString()}, ids array<int>, decoded string"
     return rows.mapInArrow(lambda batches: _coded(batches, file), schema).withColumnRenamed("id", id)
+
+
+def encoded_digests(docs: DataFrame, file: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of what ``encoded_documents`` gives, without moving it."""
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    schema = f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return rows.mapInArrow(lambda batches: _digested(_coded(batches, file)), schema).withColumnRenamed("id", id)

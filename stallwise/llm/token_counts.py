@@ -45,7 +45,7 @@ def counter(file: str) -> tuple:
     """The worker's cache of counts and the cuts for a tokenizer file."""
     if file not in _COUNTERS:
         cuts, encode_many = piecewise(load(file))
-        _COUNTERS[file] = PieceCache(lambda parts: map(len, encode_many(parts))), cuts
+        _COUNTERS[file] = PieceCache(lambda parts: map(len, encode_many(parts)), size=150_000), cuts
     return _COUNTERS[file]
 
 

@@ -44,6 +44,10 @@ def test_sentencepiece_equals_library(spark, texts):
     digest = sentencepiece_bpe.encoded_documents(docs, file).select("doc_id", sentencepiece_bpe.ids_sha256(F.col("ids")).alias("d")).where("doc_id = 3").first()
     assert digest.d == hashlib.sha256(np.array(found[3].ids, "<u4").tobytes()).hexdigest()
     assert sentencepiece_bpe.encoded_documents(docs.where("false"), file).count() == 0
+    for row in sentencepiece_bpe.encoded_digests(docs, file).collect():
+        own = found[row.doc_id]
+        assert row.n_tokens == len(own.ids) and row.ids_sha256 == hashlib.sha256(np.array(own.ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(own.decoded.encode()).hexdigest()
 
 
 def test_backtracking_equals_merging():
