@@ -15,7 +15,7 @@ in place of fixed offsets.
 
 Scale: the benchmark is read as a stream and processed in blocks of at most
 ``block_words`` words, each a distributed job; what is broadcast is one block.
-A segment holds about ``word_cache.SLICE`` bytes of text, or one longer text, so tasks are
+A segment holds about ``SEGMENT`` bytes of text, or one longer text, so tasks are
 even whatever terms, documents or copies are frequent. Matches are one row per
 maximal run of an item's windows in a document, not one per window.
 
@@ -47,6 +47,8 @@ from stallwise.sources.staging import new_path
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Unused positions between documents: longer than any window or distance asked for.
 ROOM = 1024
+# Bytes of text in a segment of the index.
+SEGMENT = 8 << 20
 TERMS_PER_BATCH = 50_000
 
 MATCH = "segment long, place int, item long, first int, last int"
@@ -67,12 +69,12 @@ def _schema(docs: DataFrame, keep: list[str]) -> T.StructType:
     return T.StructType([*T.StructType.fromDDL(own), T.StructField("kept", T.StructType(kept))])
 
 
-def _segments(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+def _segments(batches: Iterator[pa.RecordBatch], schema: pa.Schema, size: int) -> Iterator[pa.RecordBatch]:
     """Document rows and postings of each segment."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         done = 0
-        for texts in slices(batch["text"]):
+        for texts in slices(batch["text"], size):
             kept = batch["kept"].slice(done, len(texts))
             done += len(texts)
             words, counts = words_of(texts)
@@ -114,9 +116,9 @@ def _batch(schema: pa.Schema, rows: int, **columns) -> pa.RecordBatch:
 def build_index(docs: DataFrame, path: str, text: str = "text", keep: list[str] = ("doc_id",)) -> None:
     """Write the index of whole texts to ``path``; columns ``keep`` stay with the documents."""
     schema = _schema(docs, list(keep))
-    arrow = to_arrow_schema(schema)
+    arrow, size = to_arrow_schema(schema), SEGMENT
     rows = docs.select(F.col(text).alias("text"), F.struct(*keep).alias("kept"))
-    rows.mapInArrow(lambda batches: _segments(batches, arrow), schema).write.parquet(path)
+    rows.mapInArrow(lambda batches: _segments(batches, arrow, size), schema).write.parquet(path)
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:

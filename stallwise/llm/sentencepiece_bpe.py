@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from stallwise.llm.word_cache import MARK, PieceCache, framed, token_ids
 
 SPACE = "▁"
-PAIRS_HELD = 300_000
+PAIRS_HELD = 100_000
 
 
 class SpaceCuts:
@@ -72,7 +72,7 @@ class SpaceCuts:
 class BpeEncoder:
     """Encoder for a SentencePiece BPE model without normalisation rules."""
 
-    def __init__(self, file: str, size: int = 120_000):
+    def __init__(self, file: str, size: int = 60_000):
         self.model = model = sentencepiece.SentencePieceProcessor(model_file=file)
         plain = [
             i for i in range(model.get_piece_size())

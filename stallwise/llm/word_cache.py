@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 
 # Separates pieces inside marked texts; texts that hold it are cut in Python.
 MARK = "\x01"
-# Bytes of text handled at once.
-SLICE = 8 << 20
+# Bytes of text handled at once: bounds what a worker holds beside its cache.
+SLICE = 2 << 20
 # Longer pieces are encoded each time: they hardly repeat.
 LONGEST = 64
 
@@ -94,14 +94,15 @@ class PieceCache:
         return found
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """Consecutive parts of about ``SLICE`` bytes; nulls become empty texts."""
+def slices(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """Consecutive parts of about ``size`` bytes, by default ``SLICE``; nulls become empty texts."""
+    size = SLICE if size is None else size
     texts = pc.fill_null(texts, "")
     ends = pc.binary_length(texts).to_numpy(zero_copy_only=False).cumsum()
     start = 0
     while start < len(texts):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
         yield texts.slice(start, stop - start)
         start = stop
 

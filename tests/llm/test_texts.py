@@ -217,7 +217,7 @@ def plain_contamination(docs, items, width):
 
 @pytest.mark.parametrize("segment", [8 << 20, 60])
 def test_contamination_equals_brute_force(spark, segment, monkeypatch):
-    monkeypatch.setattr("stallwise.llm.word_cache.SLICE", segment)
+    monkeypatch.setattr("stallwise.llm.decontaminate.SEGMENT", segment)
     rng = random.Random(segment)
     vocabulary = ["The", "a", "É", "b2", "cat", "x-y"]
     make = lambda n: " ".join(rng.choices(vocabulary, k=n))
