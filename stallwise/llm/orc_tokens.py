@@ -30,6 +30,8 @@ from stallwise.llm.tokenizer_pieces import load, piecewise
 from stallwise.llm.word_cache import PieceCache
 
 SCHEMA = "doc_id long, part int, place long, part_start long, n_tokens int, ids array<int>"
+# Bytes of text encoded at once: a task does little else, and larger slices repeat more pieces.
+SLICE = 8 << 20
 _ENCODERS: dict[str, tuple] = {}
 
 
@@ -45,7 +47,7 @@ def _encode(batches: Iterator[pa.RecordBatch], file: str, end_id: int) -> Iterat
     part, place, start = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
         done = 0
-        for ids, starts in word_cache.token_ids(batch["text"], *encoder(file)):
+        for ids, starts in word_cache.token_ids(batch["text"], *encoder(file), SLICE):
             lists = word_cache.framed(ids, starts, [], [end_id])
             rows, ends = len(lists), lists.offsets.to_numpy().astype(np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -134,9 +134,9 @@ def count_tokens(texts: pa.Array, cache: PieceCache, cuts) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def token_ids(texts: pa.Array, cache: PieceCache, cuts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def token_ids(texts: pa.Array, cache: PieceCache, cuts, size: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per slice: all ids, and where each text's ids begin; the cache holds ids as 32-bit bytes."""
-    for part in slices(texts):
+    for part in slices(texts, size):
         words, numbers, starts = _pieces(part, cuts)
         found = cache.of(words)
         sizes = np.array([len(f) for f in found], np.int64) // 4
