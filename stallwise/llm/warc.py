@@ -12,9 +12,11 @@ Reading. Archives are parsed by record headers and content lengths. Segments are
 grouped by origin id, ordered by number, checked to be complete against the total
 length, and joined; then the HTTP header is split off and the chunks are decoded.
 Unsegmented records skip the grouping. Revisits take payload length and digest from
-the response they refer to. A broken record raises an error.
+the response they refer to. A broken record and a revisit without its response raise
+an error.
 
-Scale: payloads go through one shuffle when written, keyed by digest, where skewed
+Scale: pages are staged once with their row numbers, so that all branches of the plan
+see the same ones. Payloads go through one shuffle when written, keyed by digest, where skewed
 digests are split; the copies of a payload are reduced before that to a digest and
 the largest page id. A file holds at most ``FILE_RECORDS`` records of at most
 ``segment_bytes``, so a reading task is bounded whatever the page lengths. A page's
@@ -37,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stallwise.sources.staging import stage
+
 END = b"\r\n\r\n"
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -121,9 +125,13 @@ def write_archives(
 ) -> None:
     """One record per page, more for long ones, as compressed archives under ``path``."""
     body = F.coalesce(F.col(html), F.lit(""))
-    rows = pages.select(
-        F.col(id).cast("long").alias("page"), F.monotonically_increasing_id().alias("row"), F.col(url).alias("url"),
-        F.sha1(F.encode(body, "UTF-8")).alias("digest"), body.alias("html"),
+    # Row numbers made twice in one plan may differ between its branches.
+    rows = stage(
+        pages.select(
+            F.col(id).cast("long").alias("page"), F.monotonically_increasing_id().alias("row"), F.col(url).alias("url"),
+            F.sha1(F.encode(body, "UTF-8")).alias("digest"), body.alias("html"),
+        ),
+        "pages",
     )
     # Digests that occur more than once, with the response among their pages.
     copies = (
@@ -238,6 +246,8 @@ def page_records(spark: SparkSession, path: str) -> DataFrame:
     )
     again = records.where("type = 'revisit'").select("page_id", "refers_to", "refers_to_page")
     revisits = again.join(found.select(F.col("record_id").alias("refers_to"), "payload_bytes", "payload_digest"), "refers_to", "left")
+    lost = "raise_error(concat('revisit of page ', coalesce(page_id, 'null'), ' without its response ', coalesce(refers_to, 'null')))"
+    revisits = revisits.where(F.expr(f"CASE WHEN payload_digest IS NULL THEN CAST({lost} AS BOOLEAN) ELSE true END"))
     columns = ["page_id", "payload_bytes", "payload_digest"]
     return found.select(*columns, F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")).unionByName(
         revisits.select(*columns, F.lit("revisit").alias("record_type"), F.col("refers_to_page").alias("refers_to"))

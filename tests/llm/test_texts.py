@@ -137,6 +137,38 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.page_records(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_warc_of_shuffled_pages(spark, tmp_path):
+    """Equal pages keep one response when the pages come out of a shuffle."""
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        html = spark.range(4000).selectExpr("id AS page_id", "concat_ws('', transform(sequence(1, 50), i -> sha1(concat(id % 1000, ' ', i)))) AS html")
+        urls = spark.range(4000).selectExpr("id AS page_id", "concat_ws('', transform(sequence(1, 50), i -> sha1(concat(id, ' ', i)))) AS url")
+        path = str(tmp_path / "warc")
+        warc.write_archives(html.join(urls, "page_id"), path)
+        found = {r.page_id: r for r in warc.page_records(spark, path).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(found) == list(range(4000))
+    for page, r in found.items():
+        html = "".join(hashlib.sha1(f"{page % 1000} {i}".encode()).hexdigest() for i in range(1, 51))
+        digest = hashlib.sha1(html.encode()).hexdigest()
+        to = 3000 + page % 1000
+        assert (r.payload_bytes, r.payload_digest) == (2000, digest)
+        assert (r.record_type, r.refers_to) == (("response", None) if page == to else ("revisit", to))
+
+
+def test_warc_revisit_without_response_is_an_error(spark, tmp_path):
+    lone = b"".join(warc.records_of(1, 0, "u", "0" * 40, None, (2, 5), 1000)) + warc.END
+    (tmp_path / "a.gz").write_bytes(lone)
+    for read in (lambda t: t.collect(), lambda t: t.count()):
+        with pytest.raises(Exception, match="without its response"):
+            read(warc.page_records(spark, str(tmp_path)))
+
+
 def test_warc_framing_and_errors():
     for size in (0, 1, 8191, 8192, 8193, 50_000):
         data = random.Random(size).randbytes(size)
