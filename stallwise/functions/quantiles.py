@@ -9,6 +9,9 @@ part of all rows, such as the whole table. Two ways are therefore offered:
   wanted ranks. Two scans, both aggregating map-side, whatever the group size.
 * ``aggregate_with_quantiles`` serves any number of groups: ``percentile`` for
   groups of ordinary size, narrowing for the few that are hot.
+
+Both ignore null and NaN, take negative zero as zero, and interpolate by one formula,
+that of ``percentile``: results do not depend on the size of a group, to the last bit.
 """
 
 from __future__ import annotations
@@ -35,6 +38,11 @@ CELLS_PER_E_FOLD = 4096
 CELL = f"CAST(signum(_v) * floor(ln(1 + abs(_v)) * {CELLS_PER_E_FOLD}) AS BIGINT)"
 
 
+def _number(value: str) -> str:
+    """A column as ranked values: doubles, neither NaN nor negative zero."""
+    return f"CASE WHEN NOT isnan(CAST(`{value}` AS DOUBLE)) THEN CAST(`{value}` AS DOUBLE) + 0.0D END"
+
+
 def _same(left: str, right: str, keys: Sequence[str], *others: str) -> Column:
     """Join condition: equal keys, nulls included, and further equal columns."""
     pairs = [f"{left}.`{k}` <=> {right}._k{i}" for i, k in enumerate(keys)]
@@ -58,8 +66,8 @@ def quantiles_of_few_groups(
     quoted = [f"`{k}`" for k in keys]
     group = ", ".join(quoted)
     rows = (
-        df.selectExpr(*quoted, f"CAST(`{value}` AS DOUBLE) AS _v")
-        .where("_v IS NOT NULL AND NOT isnan(_v)")
+        df.selectExpr(*quoted, f"{_number(value)} AS _v")
+        .where("_v IS NOT NULL")
         .selectExpr(*quoted, "_v", f"{CELL} AS _cell")
         .alias("r")
     )
@@ -77,7 +85,7 @@ def quantiles_of_few_groups(
         .selectExpr(
             *_numbered(keys), "_cell AS _asked", "_n", "_before", "prob",
             "floor(prob * _last) AS _lo", "ceil(prob * _last) AS _hi",
-            "prob * _last - floor(prob * _last) AS _frac",
+            "prob * _last AS _at",
         )
         .where("_hi >= _before AND _lo < _before + _n")
         .drop("_n")
@@ -96,15 +104,15 @@ def quantiles_of_few_groups(
     )
     return (
         near.join(asked, _same("n", "a", keys, "_cell = _asked"))
-        .selectExpr(*[f"n.`{k}`" for k in keys], "prob", "_lo", "_hi", "_frac", "_v", "_before + _upto AS _upto", "_n")
-        .groupBy(*keys, "prob", "_frac")
+        .selectExpr(*[f"n.`{k}`" for k in keys], "prob", "_lo", "_hi", "_at", "_v", "_before + _upto AS _upto", "_n")
+        .groupBy(*keys, "prob", "_lo", "_hi", "_at")
         .agg(
             F.expr("max(CASE WHEN _lo < _upto AND _lo >= _upto - _n THEN _v END) AS _at_lo"),
             F.expr("max(CASE WHEN _hi < _upto AND _hi >= _upto - _n THEN _v END) AS _at_hi"),
         )
         .selectExpr(
             *quoted, "prob",
-            "CASE WHEN _at_lo = _at_hi THEN _at_lo ELSE _at_lo + (_at_hi - _at_lo) * _frac END AS value",
+            "CASE WHEN _at_lo = _at_hi THEN _at_lo ELSE (_hi - _at) * _at_lo + (_at - _lo) * _at_hi END AS value",
         )
     )
 
@@ -171,13 +179,13 @@ def aggregate_with_quantiles(
     hot = hot_keys(df, keys)
     if hot.isEmpty():
         return df.groupBy(*keys).agg(
-            *aggregates, *[F.expr(f"percentile(`{c}`, {float(p)!r}D) AS `{name}`") for name, (c, p) in quantiles.items()]
+            *aggregates, *[F.expr(f"percentile({_number(c)}, {float(p)!r}D) AS `{name}`") for name, (c, p) in quantiles.items()]
         )
 
     hot = F.broadcast(stage(hot, "hot-keys")).alias("h")
     rows = df.alias("d")
     ordinary = [
-        F.expr(f"percentile(CASE WHEN _hot IS NULL THEN `{c}` END, {float(p)!r}D) AS `{name}`")
+        F.expr(f"percentile(CASE WHEN _hot IS NULL THEN {_number(c)} END, {float(p)!r}D) AS `{name}`")
         for name, (c, p) in quantiles.items()
     ]
     base = rows.join(hot, _same("d", "h", keys), "left").select("d.*", "_hot").groupBy(*keys).agg(*aggregates, *ordinary)

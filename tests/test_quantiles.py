@@ -57,6 +57,29 @@ def test_hot_groups_give_the_same_as_ordinary_ones(spark, monkeypatch):
                 assert hot[key][name] == value
 
 
+def test_quantiles_do_not_depend_on_group_size(spark, monkeypatch):
+    """Bit for bit, with NaN, nulls, negative zeros and infinities."""
+    rng, nan = np.random.default_rng(5), float("nan")
+    rows = [("nan", v) for v in [*rng.lognormal(5, 2, 300).tolist(), *[nan] * 200, *[None] * 50]]
+    rows += [("plain", v) for v in rng.normal(0, 9, 400).tolist()]
+    rows += [("zeros", -0.0)] * 150 + [("none", nan)] * 150
+    rows += [("ends", v) for v in [float("inf")] * 70 + [float("-inf")] * 70 + [1.0] * 10]
+    df = spark.createDataFrame(rows, "k string, x double")
+    wanted = {f"q{i}": ("x", p) for i, p in enumerate(PROBS)}
+
+    def run():
+        out = Q.aggregate_with_quantiles(df, ["k"], [F.count(F.lit(1)).alias("n")], wanted).collect()
+        return {r["k"]: [None if r[q] is None else r[q].hex() for q in wanted] for r in out}
+
+    ordinary = run()
+    monkeypatch.setattr(Q, "HOT_GROUP_ROWS", 100)
+    assert run() == ordinary
+    for key in ("nan", "plain"):
+        values = [v for k, v in rows if k == key and v is not None and v == v]
+        assert [float.fromhex(q) for q in ordinary[key]] == pytest.approx(np.quantile(values, PROBS).tolist(), rel=1e-12)
+    assert ordinary["none"] == [None] * len(PROBS) and ordinary["zeros"] == [(0.0).hex()] * len(PROBS)
+
+
 def test_no_pair_join_and_no_single_group_sort_of_rows_in_the_plan(spark):
     df = spark.range(100).select(F.lit("c").alias("k"), F.col("id").cast("double").alias("v"))
     plan = Q.quantiles_of_few_groups(df, ["k"], "v", [0.5])._jdf.queryExecution().executedPlan().toString()
