@@ -5,8 +5,10 @@ one lattice table per block. Vectors with cosine ``threshold`` or more are at mo
 sqrt(2 - 2 threshold) apart, so in at least one of the ``t`` tables their blocks are
 at most r = sqrt((2 - 2 threshold) / t) apart. In each table a vector is stored under
 its nearest E8 point and under every neighbouring point whose cell comes within r/2,
-so the cell of the midpoint of such a pair holds both: no link is missed, at any
-``cell`` size. What meets in a cell is verified by cosine in double precision.
+so the cell of the midpoint of such a pair holds both: no link is missed. Every point
+is within 1 of its nearest lattice point, so neighbours up to 2 + r/2 away, in lattice
+units, are looked at; a ``cell`` so small that this asks for norm 10 or more is an
+error. What meets in a cell is verified by cosine in double precision.
 
 A pair may meet in several cells. It is counted where it must meet: in its first
 table with blocks within r, in the cell of the midpoint. So links per vector are
@@ -42,6 +44,8 @@ from stallwise.sources.staging import stage
 E8 = 8
 # Rows decoded at once.
 CHUNK = 4096
+# Longest neighbours looked at; there are 17,520 of norm 8.
+MAX_NORM = 8
 
 
 @cache
@@ -57,6 +61,16 @@ def neighbours() -> tuple[np.ndarray, np.ndarray]:
     return near, np.array(sorted(sums))
 
 
+@cache
+def shell(norm: int) -> np.ndarray:
+    """All lattice vectors of an even norm: each is one of the norm before plus a shortest one."""
+    if norm <= 4:
+        return neighbours()[norm // 2 - 1]
+    before = shell(norm - 2)
+    sums = {tuple(s) for v in neighbours()[0] for s in (before + v)[((before + v) ** 2).sum(1) == norm]}
+    return np.array(sorted(sums))
+
+
 def _nearest_even(x: np.ndarray) -> np.ndarray:
     """Nearest whole-number point with an even sum: round, then mend the worst coordinate."""
     point = np.rint(x)
@@ -109,12 +123,18 @@ class Geometry:
         self.seed = seed
         # A hair wider than the bound, so that rounding loses nothing.
         self.radius = np.sqrt((2 - 2 * threshold) / self.tables) * (1 + 1e-9) + 1e-12
+        self.reach = self.radius / self.size / 2
+        self.norms = [n for n in range(2, 12, 2) if n <= max(4, (2 + self.reach) ** 2)]
+        if self.norms[-1] > MAX_NORM:
+            least = cell * self.reach / (np.sqrt(MAX_NORM + 2) - 2)
+            raise ValueError(f"cell {cell} is too small for threshold {threshold}: at least {least:.3f} is needed")
 
     def memberships(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, table, cell) for each cell within half the radius."""
         blocks = rotated(vectors, self.seed) / self.size
-        reach = self.radius / self.size / 2
-        offsets = [np.zeros((1, E8)), *neighbours()]
+        shells = [shell(n) for n in self.norms]
+        # Pieces no longer than the first two shells, so that the products stay small.
+        offsets = [np.zeros((1, E8)), *(s[at : at + 2160] for s in shells for at in range(0, len(s), 2160))]
         rows, tables, cells = [], [], []
         for t in range(self.tables):
             home = decode(blocks[:, t])
@@ -122,7 +142,7 @@ class Geometry:
             for vectors_ in offsets:
                 norm = np.sqrt((vectors_[0] ** 2).sum())
                 # Distance to the plane halfway to the neighbour is at most the reach.
-                row, other = np.nonzero(aside @ vectors_.T >= norm * norm / 2 - reach * norm)
+                row, other = np.nonzero(aside @ vectors_.T >= norm * norm / 2 - self.reach * norm)
                 rows.append(row)
                 tables.append(np.full(len(row), t, np.int32))
                 cells.append(cell_number(home[row] + vectors_[other]))
@@ -218,8 +238,10 @@ def near_duplicates(
 ) -> DataFrame:
     """``id``, ``n_links``, ``component_id``, ``kept``: one row per vector.
 
-    ``cell`` is the lattice scale in standard deviations of a coordinate.
+    ``cell`` is the lattice scale in standard deviations of a coordinate; it must be
+    at least about 1.72 * sqrt(1 - threshold).
     """
+    Geometry(E8, threshold, cell, seed)
     usable = (
         f"CASE WHEN `{label}` IS NOT NULL AND size(`{vector}`) > 0"
         f" AND forall(`{vector}`, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))"

@@ -126,6 +126,31 @@ def test_lattice_links_are_complete(spark, dims, cell, block, threshold):
     assert lattice_dedup.near_duplicates(table.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(("threshold", "cell"), [(0.9, 0.6), (0.98, 0.5)])
+def test_lattice_of_small_cells_holds_both_of_a_pair(threshold, cell):
+    """Both members of a pair are stored under the cell of their midpoint."""
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(6000, 8))
+    a /= np.sqrt((a * a).sum(1, keepdims=True))
+    side = rng.normal(size=a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.sqrt((side * side).sum(1, keepdims=True))
+    b = a * (threshold + 1e-7) + side * np.sqrt(1 - (threshold + 1e-7) ** 2)
+    shape = lattice_dedup.Geometry(8, threshold, cell, 8)
+    middle = (lattice_dedup.rotated(a, 8) + lattice_dedup.rotated(b, 8))[:, 0] / 2
+    asked = lattice_dedup.cell_number(lattice_dedup.decode(middle / shape.size))
+    for side in (a, b):
+        rows, _, cells = shape.memberships(side)
+        assert len(np.unique(rows[cells == asked[rows]])) == len(asked)
+
+
+def test_lattice_shells_and_too_small_cells(spark):
+    assert [len(lattice_dedup.shell(n)) for n in (2, 4, 6, 8)] == [240, 2160, 6720, 17520]
+    assert lattice_dedup.Geometry(64, 0.98, 2.0, 8).norms == [2, 4]
+    with pytest.raises(ValueError, match="too small"):
+        lattice_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), cell=0.1)
+
+
 def test_lattice_neighbours_and_decoding():
     near, far = lattice_dedup.neighbours()
     assert len(near) == 240 and len(far) == 2160 and (near**2).sum(1).max() == 2 and (far**2).sum(1).min() == 4
