@@ -28,6 +28,7 @@ named by the caller, and all others are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
@@ -127,9 +128,9 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Block:
-    """Windows of some benchmark items, with terms as numbers."""
+    """Windows of some benchmark items, with terms as numbers; without a width, whole items."""
 
-    def __init__(self, texts: list[str | None], width: int):
+    def __init__(self, texts: list[str | None], width: int | None):
         words, counts = words_of(pa.array(texts, pa.string()))
         coded = words.dictionary_encode()
         self.terms = coded.dictionary
@@ -137,8 +138,9 @@ class Block:
         for item, count in enumerate(counts.tolist()):
             own = numbers[at : at + count]
             at += count
-            for i in range(max(1, count - width + 1) if count else 0):
-                windows.setdefault(tuple(own[i : i + width]), []).append(item)
+            size = count if width is None else width
+            for i in range(max(1, count - size + 1) if count else 0):
+                windows.setdefault(tuple(own[i : i + size]), []).append(item)
         self.windows = list(windows.items())
 
 
@@ -164,12 +166,14 @@ def exact_starts(postings: dict[int, np.ndarray], window: tuple[int, ...]) -> np
 
 
 def near_starts(postings: dict[int, np.ndarray], window: tuple[int, ...], distance: int) -> np.ndarray:
-    """Positions of the rarest term with every other term within ``distance`` words."""
-    order = sorted(set(window), key=lambda t: len(postings[t]))
+    """Positions of the rarest term with every term, as often as in the window, within ``distance`` words."""
+    times = Counter(window)
+    order = sorted(times, key=lambda t: len(postings[t]))
     found = postings[order[0]]
-    for term in order[1:]:
-        others = np.append(postings[term], np.iinfo(np.int64).max)
-        found = found[others[np.searchsorted(others, found - distance)] <= found + distance]
+    for term in order:
+        # The rarest term itself is one of its occurrences.
+        others = np.append(postings[term], [np.iinfo(np.int64).max] * times[term])
+        found = found[others[np.searchsorted(others, found - distance) + times[term] - 1] <= found + distance]
     return found
 
 
@@ -232,7 +236,7 @@ def _blocks(benchmark: DataFrame, id: str, text: str, block_words: int) -> Itera
 
 
 def phrase_matches(
-    spark: SparkSession, path: str, benchmark: DataFrame, width: int = 10, distance: int | None = None,
+    spark: SparkSession, path: str, benchmark: DataFrame, width: int | None = 10, distance: int | None = None,
     id: str = "item_id", text: str = "text", block_words: int = 1_000_000,
 ) -> DataFrame:
     """Runs of benchmark windows in indexed documents: ``segment``, ``place``, ``item_id``, ``first``, ``last``.
@@ -240,7 +244,9 @@ def phrase_matches(
     ``first`` and ``last`` number the words of the document from 0. Written to the
     shared folder block by block. With ``distance``, see ``proximity_matches``.
     """
-    if max(width, distance or 0) >= ROOM:
+    if width is None and distance is None:
+        raise ValueError("exact matches need a width")
+    if max(width or 0, distance or 0) >= ROOM:
         raise ValueError(f"windows and distances must be below {ROOM} words")
     out = new_path(spark, "matches")
     kind = benchmark.schema[id].dataType
@@ -266,9 +272,10 @@ def proximity_matches(spark: SparkSession, path: str, phrases: DataFrame, distan
     """Where all words of a phrase stand within ``distance`` words of its rarest one, in any order.
 
     The rarest word is the one with the fewest positions in the segment; runs of
-    such words are one match. Phrases may have up to ``ROOM`` words.
+    such words are one match. A word that the phrase repeats must stand there as often.
+    Phrases are matched whole, whatever their length.
     """
-    return phrase_matches(spark, path, phrases, ROOM - 1, distance, **names)
+    return phrase_matches(spark, path, phrases, None, distance, **names)
 
 
 def contamination(spark: SparkSession, path: str, matches: DataFrame) -> DataFrame:

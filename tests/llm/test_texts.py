@@ -270,6 +270,16 @@ def test_contamination_equals_brute_force(spark, segment, monkeypatch):
     assert Counter(r.doc_id for r in decontaminate.without_contaminated(table, benchmark, 4).collect()) == clean
 
 
+def test_proximity_of_long_and_repeating_phrases(spark, tmp_path):
+    long = [f"w{i}" for i in range(1500)]
+    docs = [(1, " ".join(long)), (2, " ".join(long[:700] + long[750:])), (3, "x a b"), (4, "a x b a")]
+    decontaminate.build_index(spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path / "index"))
+    phrases = spark.createDataFrame([(1, " ".join(long[750:] + long[:750])), (2, "a a b"), (3, "b a")], "item_id long, text string")
+    found = decontaminate.proximity_matches(spark, str(tmp_path / "index"), phrases, 1000)
+    matched = decontaminate.documents(spark, str(tmp_path / "index")).select("segment", "place", "kept.doc_id").join(found, ["segment", "place"])
+    assert {(r.doc_id, r.item_id) for r in matched.collect()} == {(1, 1), (4, 2), (3, 3), (4, 3)}
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red one two blue"), (2, "blue " + "x " * 9 + "red"), (3, "red"), (4, "red blue")], "doc_id long, text string")
     path = decontaminate.new_path(spark, "index")
