@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from stallwise.llm import (
     chat_format,
+    collocations,
     decontaminate,
     hilbert_shards,
     lattice_dedup,
     orc_tokens,
+    quality_ratio,
     sentencepiece_bpe,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -116,6 +119,21 @@ def op10_orc_tokens(spark, sf_dir):
     )
 
 
+@query
+def op11_quality_ratio(spark, sf_dir):
+    return quality_ratio.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"), top=2000)
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 ORACLE: dict[str, str] = {
     "op2_lattice_near_dup": """
         WITH RECURSIVE usable AS (
@@ -180,4 +198,32 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
             sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
         FROM doc_words d LEFT JOIN hit h USING (doc_id) LEFT JOIN items t USING (doc_id)""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT lang, doc, row_number() OVER () AS piece, regexp_extract_all(body, '[^\x20\x09]+') AS w
+            FROM (SELECT coalesce(lang, 'und') AS lang, doc, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS body
+                  FROM (SELECT row_number() OVER () AS doc, lang, text FROM documents))),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 6) AS sizes(k) WHERE len(w) >= k)),
+        f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+        longer AS (
+            SELECT s.lang, s.phrase, max(b.f) AS f
+            FROM f s JOIN f b ON s.lang = b.lang AND b.k > s.k AND s.k > 1 AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')
+            GROUP BY ALL),
+        cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, c.j, l.f AS l, r.f AS r, t.n,
+                   (1000::HUGEINT * c.f * t.n) // (l.f::HUGEINT * r.f) AS score
+            FROM (SELECT f.*, unnest(range(1, k)) AS j, string_split(phrase, ' ') AS w FROM f WHERE k > 1) c
+            JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1 : c.j], ' ')
+            JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.j + 1 :], ' ')
+            JOIN totals t ON t.lang = c.lang),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        ranked AS (
+            SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, c.phrase) AS rank,
+                   c.phrase, c.a, c.l, c.r, c.n, CAST(c.score AS BIGINT) AS score
+            FROM lowest c LEFT JOIN longer g ON g.lang = c.lang AND g.phrase = c.phrase WHERE g.f IS NULL OR g.f < c.a)
+        SELECT * FROM ranked WHERE rank <= 2000""",
 }
