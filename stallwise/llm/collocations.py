@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 from stallwise.sources.staging import stage
 
 # Bytes of text mined at once.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 16 << 20
 FILTER_BITS = 1 << 25
+# Bits of a bitmap value of Spark's functions.
+BUCKET = 1 << 15
 # Bits of the bitmap that a phrase sets.
 PROBES = 2
 # Rows passed on at once.
@@ -157,32 +159,28 @@ def places(hashes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def locally_frequent(texts: DataFrame, total: int, support: int, longest: int, bits: int, shard_bytes: int) -> DataFrame:
-    """Bits (from 1) set by the phrases that are frequent in some shard, once per shard."""
+    """Bitmaps of the phrases that are frequent in some shard: ``bucket`` of ``BUCKET`` bits and ``packed``, once per task."""
 
     def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        field = np.zeros(-(-bits // BUCKET) * BUCKET, bool)
         for shard, size in shards(batches, shard_bytes):
             # Smallest count that reaches support * size / total.
             needed = -(-support * size // total)
-            field = np.zeros(bits, bool)
             for _, hashes, _, _, _ in shard.frequent(longest, lambda hashes, counts: counts >= needed):
                 field[places(hashes, bits)] = True
-            found = np.flatnonzero(field) + 1
-            for at in range(0, len(found), 10 * OUT_ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(found[at : at + 10 * OUT_ROWS])], ["bit"])
+        buckets = np.packbits(field, bitorder="little").reshape(-1, BUCKET // 8)
+        used = np.flatnonzero(buckets.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([b.tobytes() for b in buckets[used]], pa.binary())], ["bucket", "packed"])
 
-    return texts.mapInArrow(mined, "bit long")
+    return texts.mapInArrow(mined, "bucket long, packed binary")
 
 
-def bitmap(set_bits: DataFrame, bits: int) -> np.ndarray:
+def bitmap(parts: DataFrame, bits: int) -> np.ndarray:
     """The union as packed bits: at most ``bits`` / 8 bytes come to the driver."""
-    rows = (
-        set_bits.groupBy(F.expr("bitmap_bucket_number(bit)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("packed")).collect()
-    )
-    whole = np.zeros(-(-bits // 32768) * 4096, np.uint8)
-    for row in rows:
-        whole[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.packed, np.uint8)
-    return whole
+    whole = np.zeros((-(-bits // BUCKET), BUCKET // 8), np.uint8)
+    for row in parts.groupBy("bucket").agg(F.expr("bitmap_or_agg(packed)").alias("packed")).collect():
+        whole[row.bucket] = np.frombuffer(row.packed, np.uint8)
+    return whole.reshape(-1)
 
 
 def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, bits: int, shard_bytes: int) -> DataFrame:

@@ -99,7 +99,8 @@ def trusted_labels(labels: DataFrame, id: str = "doc_id", held_out: int = HELD_O
 
 def gram_counts(docs: DataFrame, trusted: DataFrame, id: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """``bucket``, ``raw`` and ``target``: grams of all documents, and of trusted ones not held out."""
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(trusted, F.col("id") == F.col("label_id"), "left")
+    # Trusted ids are many at scale: always a shuffle join, hashed on the ids, so that texts are not sorted.
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(trusted.hint("shuffle_hash"), F.col("id") == F.col("label_id"), "left")
     grams = with_grams(rows.select((~F.coalesce("held_out", F.lit(True))).alias("is_target"), words_of(F.col("text")).alias("words")))
     return (
         # The outer form keeps the optimizer from filtering by the array, which would make it twice.
