@@ -40,6 +40,8 @@ from stallwise.sources.staging import stage
 
 # Bytes of text mined at once.
 SHARD_BYTES = 16 << 20
+# Bytes of text taken apart at once.
+SLICE = 2 << 20
 FILTER_BITS = 1 << 25
 # Bits of a bitmap value of Spark's functions.
 BUCKET = 1 << 15
@@ -58,41 +60,63 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Shard:
-    """The words of some texts as numbers, with where pieces end."""
+    """The words of some texts as numbers, with where pieces end. Texts are taken in slices and not kept."""
 
-    def __init__(self, texts: list[bytes], langs: np.ndarray):
-        """``langs`` numbers the language of each text."""
-        sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    def __init__(self):
+        self.size = 0
+        self.langs: dict[str, int] = {}
+        self.numbers: dict[bytes, int] = {}
+        self.pieces = 0
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, texts: list[bytes], langs: list[str]) -> None:
+        sizes = np.array([len(t) + 1 for t in texts])
         data = np.frombuffer((b"\n".join(texts) + b"\n").lower(), np.uint8)
+        self.size += len(data) - len(texts)
         kind = KIND[data]
-        inside = np.concatenate([[False], kind == 0, [False]])
-        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[:-1] = kind == 0
+        edges = np.flatnonzero(np.diff(inside, prepend=np.int8(0)))
         starts, ends = edges[::2], edges[1::2]
-        self.n = len(starts)
-        offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-        letters = data[kind == 0]
+        offsets = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(ends - starts, out=offsets[1:])
         words = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), self.n, [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside[:-1] > 0])]
         ).dictionary_encode()
-        self.words = words.dictionary.cast(pa.large_string())
-        self.word = words.indices.to_numpy(zero_copy_only=False)
-        self.piece = np.searchsorted(np.flatnonzero(kind == END), starts).astype(np.int32)
-        self.lang = langs[np.searchsorted(np.cumsum(sizes), starts, side="right")].astype(np.int32)
+        known = np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words.dictionary.to_pylist()], np.int32)
+        breaks = np.flatnonzero(kind == END)
+        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], np.int32)
+        self.parts.append((
+            known[words.indices.to_numpy(zero_copy_only=False)],
+            (self.pieces + np.searchsorted(breaks, starts)).astype(np.int32),
+            lang[np.searchsorted(np.cumsum(sizes), starts, side="right")],
+        ))
+        self.pieces += len(breaks)
+
+    def closed(self) -> Shard:
+        """Ready to be mined: ``words`` by number, and ``word``, ``piece``, ``lang`` by place."""
+        self.word, self.piece, self.lang = (np.concatenate(x) for x in zip(*self.parts))
+        self.n = len(self.word)
+        self.words = pa.array(self.numbers, pa.large_binary()).cast(pa.large_string())
+        self.word_hash = np.array([xxhash.xxh64_intdigest(w, 1) for w in self.numbers], np.uint64)
+        self.lang_hash = np.array([xxhash.xxh64_intdigest(x.encode(), 2) for x in self.langs], np.uint64)
+        self.parts, self.numbers = [], {}
+        return self
 
     def frequent(self, longest: int, kept: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple]:
         """Level by level ``(k, hashes, counts, lang, first)`` of the phrases that ``kept(hashes, counts)`` lets through.
 
         ``first`` is where a phrase first stands. Longer phrases are looked for where both their parts were kept.
         """
-        word_hash = np.array([xxhash.xxh64_intdigest(w.as_buffer(), 1) for w in self.words], np.uint64)
-        at = np.arange(self.n)
+        at = np.arange(self.n, dtype=np.int32)
         key = self.lang.astype(np.int64) * len(self.words) + self.word
         hashed = None
         for k in range(1, longest + 1):
             ids, distinct = pd.factorize(key)
-            first = np.empty(len(distinct), np.int64)
+            ids = ids.astype(np.int32)
+            first = np.empty(len(distinct), np.int32)
             first[ids[::-1]] = at[::-1]
-            last_word = word_hash[self.word[first + k - 1]]
+            last_word = self.word_hash[self.word[first + k - 1]]
             if k == 1:
                 hashes = _mixed(_mixed(self.lang_hash[self.lang[first]]) ^ last_word)
             else:
@@ -103,7 +127,7 @@ class Shard:
             if k == longest or not good.any():
                 return
             # Per place the number and hash of the phrase that starts there, or none.
-            number = np.full(self.n + 1, -1, np.int64)
+            number = np.full(self.n + 1, -1, np.int32)
             hashed = np.zeros(self.n, np.uint64)
             there = good[ids]
             number[at[there]] = ids[there]
@@ -111,13 +135,7 @@ class Shard:
             at = at[there]
             at = at[at + k < self.n]
             at = at[(number[at + 1] >= 0) & (self.piece[at] == self.piece[at + k])]
-            key = number[at] * len(distinct) + number[at + 1]
-
-    def named(self, langs: list[str]) -> Shard:
-        """With the names of the numbered languages."""
-        self.langs = langs
-        self.lang_hash = np.array([xxhash.xxh64_intdigest(x.encode(), 2) for x in langs] or [0], np.uint64)
-        return self
+            key = number[at].astype(np.int64) * len(distinct) + number[at + 1]
 
     def phrases(self, first: np.ndarray, k: int) -> pa.Array:
         columns = [self.words.take(pa.array(self.word[first + j])) for j in range(k)]
@@ -131,25 +149,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[Shard, int]]:
-    """The texts of a task in shards, each with its bytes. Batches hold ``lang``, ``text``."""
-    texts: list[bytes] = []
-    langs: list[int] = []
-    numbers: dict[str, int] = {}
-    size = 0
+def shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[Shard]:
+    """The texts of a task in shards. Batches hold ``lang``, ``text``."""
+    shard, texts, langs, size = Shard(), [], [], 0
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
             body = text.as_buffer()
             if body is None or not len(body):
                 continue
             texts.append(body.to_pybytes())
-            langs.append(numbers.setdefault(lang.as_py(), len(numbers)))
+            langs.append(lang.as_py())
             size += len(body)
-            if size >= shard_bytes:
-                yield Shard(texts, np.array(langs)).named(list(numbers)), size
-                texts, langs, numbers, size = [], [], {}, 0
+            if size >= min(SLICE, shard_bytes):
+                shard.add(texts, langs)
+                texts, langs, size = [], [], 0
+            if shard.size >= shard_bytes:
+                yield shard.closed()
+                shard = Shard()
     if texts:
-        yield Shard(texts, np.array(langs)).named(list(numbers)), size
+        shard.add(texts, langs)
+    if shard.size:
+        yield shard.closed()
 
 
 def places(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -163,9 +183,9 @@ def locally_frequent(texts: DataFrame, total: int, support: int, longest: int, b
 
     def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         field = np.zeros(-(-bits // BUCKET) * BUCKET, bool)
-        for shard, size in shards(batches, shard_bytes):
+        for shard in shards(batches, shard_bytes):
             # Smallest count that reaches support * size / total.
-            needed = -(-support * size // total)
+            needed = -(-support * shard.size // total)
             for _, hashes, _, _, _ in shard.frequent(longest, lambda hashes, counts: counts >= needed):
                 field[places(hashes, bits)] = True
         buckets = np.packbits(field, bitorder="little").reshape(-1, BUCKET // 8)
@@ -195,8 +215,8 @@ def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, bit
             at = places(hashes, bits)
             return ((packed[at >> 3] >> (at & 7)) & 1).all(1)
 
-        for shard, _ in shards(batches, shard_bytes):
-            langs = pa.array(shard.langs, pa.string())
+        for shard in shards(batches, shard_bytes):
+            langs = pa.array(list(shard.langs), pa.string())
             words = np.bincount(shard.lang, minlength=len(shard.langs))
             yield _rows(langs, pa.array([""] * len(langs), pa.string()), 0, words)
             for k, _, n, lang, first in shard.frequent(longest, listed):
@@ -205,7 +225,8 @@ def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, bit
                     yield _rows(langs.take(pa.array(lang[cut])), shard.phrases(first[cut], k), k, n[cut])
 
     return (
-        texts.mapInArrow(counts, "lang string, phrase string, k int, f long")
+        # Shards are counted already: nothing is left to combine before the shuffle.
+        texts.mapInArrow(counts, "lang string, phrase string, k int, f long").repartition("lang", "phrase")
         .groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where((F.col("f") >= support) | (F.col("k") == 0))
     )
 
