@@ -3,20 +3,23 @@
 Texts are cut into shards of bounded size. Each shard is mined completely, level by
 level, at a local support of the global one times the shard's share of all bytes: a
 phrase that is frequent overall is frequent in one shard at least, whatever the
-shards are. The union of the locally frequent phrases is kept as a bitmap of hashes;
-then every shard counts all phrases of that union, and the counts are added up
-exactly. A phrase that gets into the bitmap by a collision is counted like any other,
-so collisions cost rows and never change a result. Sub-phrases of a locally frequent
-phrase are frequent in the same shard, so both passes prune by Apriori.
+shards are. The union of the locally frequent phrases comes with what each shard found
+above its local support; in shards that do not report a phrase it stands at most one
+time less than their support. Phrases whose upper bound stays below the global
+support leave the union, for certain. The rest are the candidates: every shard counts
+them, and the counts are added up exactly. Before all that, words are counted, so that
+shards look at phrases of frequent words only; both passes prune by Apriori.
+
+Candidates travel to the shards as a bitmap of 64-bit hashes. What gets in by a
+collision is counted like any other phrase: collisions cost rows and change no result.
 
 Scale: the bitmap has ``filter_bits`` bits, whatever the corpus (4 MB by default), and
 is the only thing broadcast. With a fixed support and ever more shards the local
-support falls to one; the bitmap then fills, and counting becomes a plain count that
-is combined per shard. So the support should grow with the corpus where it can; the
-shards stay as small as a task's memory asks. Nothing is cut off either way. Counts
-are combined per shard before the shuffle, and keyed by phrase, so a language or
-phrase that holds a third of all words is shared by all tasks; the best phrases of a
-language are picked in slices before its slices meet.
+support falls to one; shards then report all phrases of frequent words, and the
+union is a plain count combined per shard. So the support should grow with the corpus
+where it can. Nothing is cut off either way. All shuffles are keyed by word or phrase,
+so a language or phrase that holds a third of all words is shared by all tasks; the
+best phrases of a language are picked in slices before its slices meet.
 
 Defined results: null and empty texts have no words; a null language is ``none_as``;
 repeated rows count again; ties of scores go by count, then phrase; texts longer than
@@ -45,8 +48,6 @@ SLICE = 2 << 20
 FILTER_BITS = 1 << 25
 # Bits of a bitmap value of Spark's functions.
 BUCKET = 1 << 15
-# Bits of the bitmap that a phrase sets.
-PROBES = 2
 # Rows passed on at once.
 OUT_ROWS = 50_000
 
@@ -103,10 +104,13 @@ class Shard:
         self.parts, self.numbers = [], {}
         return self
 
-    def frequent(self, longest: int, kept: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> Iterator[tuple]:
+    def frequent(
+        self, longest: int, kept: Callable[[np.ndarray, np.ndarray], np.ndarray], words: Callable[[np.ndarray], np.ndarray] | None = None
+    ) -> Iterator[tuple]:
         """Level by level ``(k, hashes, counts, lang, first)`` of the phrases that ``kept(hashes, counts)`` lets through.
 
         ``first`` is where a phrase first stands. Longer phrases are looked for where both their parts were kept.
+        With ``words``, that function of the hashes chooses the words.
         """
         at = np.arange(self.n, dtype=np.int32)
         key = self.lang.astype(np.int64) * len(self.words) + self.word
@@ -122,7 +126,7 @@ class Shard:
             else:
                 hashes = _mixed(hashed[first] * MIX ^ last_word)
             counts = np.bincount(ids, minlength=len(distinct))
-            good = kept(hashes, counts)
+            good = words(hashes) if words and k == 1 else kept(hashes, counts)
             yield k, hashes[good], counts[good], self.lang[first[good]], first[good]
             if k == longest or not good.any():
                 return
@@ -172,54 +176,67 @@ def shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[Shar
         yield shard.closed()
 
 
-def places(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """The bits a phrase sets, one column per probe."""
-    second = _mixed(hashes ^ MIX)
-    return np.stack([(h % np.uint64(bits)).astype(np.int64) for h in (hashes, second)[:PROBES]], 1)
+def listed(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have both their bits set."""
+    last = np.uint64(len(bitmap) * 8 - 1)
+    out = np.ones(len(hashes), bool)
+    for place in (hashes & last, (hashes >> np.uint64(32)) & last):
+        out &= (bitmap[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return out
 
 
-def locally_frequent(texts: DataFrame, total: int, support: int, longest: int, bits: int, shard_bytes: int) -> DataFrame:
-    """Bitmaps of the phrases that are frequent in some shard: ``bucket`` of ``BUCKET`` bits and ``packed``, once per task."""
+def bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Packed bits of the column ``hash``: at most ``bits`` / 8 bytes come to the driver."""
+    places = hashes.selectExpr(f"explode(array(1 + (hash & {bits - 1}L), 1 + (shiftrightunsigned(hash, 32) & {bits - 1}L))) AS bit")
+    parts = places.groupBy(F.expr("bitmap_bucket_number(bit) - 1").alias("bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit))").alias("packed"))
+    whole = np.zeros((-(-bits // BUCKET), BUCKET // 8), np.uint8)
+    for row in parts.collect():
+        whole[row.bucket] = np.frombuffer(row.packed, np.uint8)
+    return whole.reshape(-1)[: bits // 8]
 
-    def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = np.zeros(-(-bits // BUCKET) * BUCKET, bool)
+
+def frequent_words(texts: DataFrame, support: int, shard_bytes: int) -> DataFrame:
+    """``hash`` of the words with at least ``support`` occurrences in their language."""
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, shard_bytes):
-            # Smallest count that reaches support * size / total.
-            needed = -(-support * shard.size // total)
-            for _, hashes, _, _, _ in shard.frequent(longest, lambda hashes, counts: counts >= needed):
-                field[places(hashes, bits)] = True
-        buckets = np.packbits(field, bitorder="little").reshape(-1, BUCKET // 8)
-        used = np.flatnonzero(buckets.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([b.tobytes() for b in buckets[used]], pa.binary())], ["bucket", "packed"])
+            for _, hashes, n, _, _ in shard.frequent(1, lambda hashes, counts: counts > 0):
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
 
-    return texts.mapInArrow(mined, "bucket long, packed binary")
+    return texts.mapInArrow(words, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("hash")
 
 
-def bitmap(parts: DataFrame, bits: int) -> np.ndarray:
-    """The union as packed bits: at most ``bits`` / 8 bytes come to the driver."""
-    whole = np.zeros((-(-bits // BUCKET), BUCKET // 8), np.uint8)
-    for row in parts.groupBy("bucket").agg(F.expr("bitmap_or_agg(packed)").alias("packed")).collect():
-        whole[row.bucket] = np.frombuffer(row.packed, np.uint8)
-    return whole.reshape(-1)
+def locally_frequent(texts: DataFrame, words: np.ndarray, total: int, support: int, longest: int, shard_bytes: int) -> DataFrame:
+    """``hash``, ``above``: per phrase of two words or more how far its counts exceed what shards may hide of it.
 
+    Only shards where a phrase is locally frequent add to ``above``. The null hash has the occurrences that all shards may hide.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(words)
+
+    def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard in shards(batches, shard_bytes):
+            # Smallest count that reaches support * size / total; phrases below it are not reported.
+            needed = -(-support * shard.size // total)
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([needed - 1])], ["hash", "above"])
+            levels = shard.frequent(longest, lambda hashes, counts: counts >= needed, lambda hashes: listed(shared.value, hashes))
+            for k, hashes, n, _, _ in levels:
+                if k > 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n - (needed - 1))], ["hash", "above"])
 
-def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, bits: int, shard_bytes: int) -> DataFrame:
+    return texts.mapInArrow(mined, "hash long, above long").groupBy("hash").agg(F.sum("above").alias("above"))
+
+
+def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, shard_bytes: int) -> DataFrame:
     """``lang``, ``phrase``, ``k``, ``f`` of the phrases of the union with at least ``support`` occurrences,
     and of each language all its words as the phrase of no words."""
     shared = texts.sparkSession.sparkContext.broadcast(union)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = shared.value
-
-        def listed(hashes: np.ndarray, _: np.ndarray) -> np.ndarray:
-            at = places(hashes, bits)
-            return ((packed[at >> 3] >> (at & 7)) & 1).all(1)
-
         for shard in shards(batches, shard_bytes):
             langs = pa.array(list(shard.langs), pa.string())
-            words = np.bincount(shard.lang, minlength=len(shard.langs))
+            words = np.bincount(shard.lang, minlength=len(langs))
             yield _rows(langs, pa.array([""] * len(langs), pa.string()), 0, words)
-            for k, _, n, lang, first in shard.frequent(longest, listed):
+            for k, _, n, lang, first in shard.frequent(longest, lambda hashes, _: listed(shared.value, hashes)):
                 for at in range(0, len(first), OUT_ROWS):
                     cut = slice(at, at + OUT_ROWS)
                     yield _rows(langs.take(pa.array(lang[cut])), shard.phrases(first[cut], k), k, n[cut])
@@ -243,12 +260,17 @@ def frequent_phrases(
 ) -> DataFrame:
     """``lang``, ``phrase``, ``k`` (words), ``f``: all phrases of up to ``longest`` words with at least
     ``support`` occurrences in their language, and per language its words as the phrase of no words."""
+    if filter_bits & (filter_bits - 1) or not 8 <= filter_bits <= 1 << 32:
+        raise ValueError("filter_bits must be a power of two from 8 to 2^32")
     texts = docs.select(F.coalesce(F.col(lang), F.lit(none_as)).alias("lang"), F.col(text).alias("text"))
     total = texts.agg(F.expr("coalesce(sum(octet_length(text)), 0)")).first()[0]
     # Partitions smaller than a shard are mined together: the same shards, however the input is dealt.
     texts = texts.coalesce(max(1, -(-total // shard_bytes)))
-    union = bitmap(locally_frequent(texts, max(total, 1), support, longest, filter_bits, shard_bytes), filter_bits)
-    return stage(counted(texts, union, support, longest, filter_bits, shard_bytes), "phrases")
+    words = bitmap(frequent_words(texts, support, shard_bytes), filter_bits)
+    found = stage(locally_frequent(texts, words, max(total, 1), support, longest, shard_bytes), "locally-frequent")
+    hidden = found.where("hash IS NULL").agg(F.coalesce(F.sum("above"), F.lit(0))).first()[0]
+    phrases = bitmap(found.where("hash IS NOT NULL").where(F.col("above") + hidden >= support).select("hash"), filter_bits)
+    return stage(counted(texts, words | phrases, support, longest, shard_bytes), "phrases")
 
 
 def collocations(
