@@ -29,6 +29,7 @@ an empty result; other columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from stallwise.sources.staging import stage
 
 # Bytes of text mined at once.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 32 << 20
 # Bytes of text taken apart at once.
 SLICE = 2 << 20
 FILTER_BITS = 1 << 25
@@ -61,17 +62,17 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Shard:
-    """The words of some texts as numbers, with where pieces end. Texts are taken in slices and not kept."""
+    """The words of some texts as numbers, one per language and word. Texts are taken in slices and not kept."""
 
     def __init__(self):
         self.size = 0
-        self.langs: dict[str, int] = {}
-        self.numbers: dict[bytes, int] = {}
-        self.pieces = 0
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.langs: list[str] = []
+        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.known: list[bytes] = []
+        self.lang_of: list[int] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def add(self, texts: list[bytes], langs: list[str]) -> None:
-        sizes = np.array([len(t) + 1 for t in texts])
+    def add(self, texts: list[bytes], lang: str) -> None:
         data = np.frombuffer((b"\n".join(texts) + b"\n").lower(), np.uint8)
         self.size += len(data) - len(texts)
         kind = KIND[data]
@@ -84,24 +85,34 @@ class Shard:
         words = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside[:-1] > 0])]
         ).dictionary_encode()
-        known = np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words.dictionary.to_pylist()], np.int32)
-        breaks = np.flatnonzero(kind == END)
-        lang = np.array([self.langs.setdefault(x, len(self.langs)) for x in langs], np.int32)
-        self.parts.append((
-            known[words.indices.to_numpy(zero_copy_only=False)],
-            (self.pieces + np.searchsorted(breaks, starts)).astype(np.int32),
-            lang[np.searchsorted(np.cumsum(sizes), starts, side="right")],
-        ))
-        self.pieces += len(breaks)
+        piece = np.searchsorted(np.flatnonzero(kind == END), starts)
+        followed = np.zeros(len(starts), bool)
+        followed[:-1] = piece[1:] == piece[:-1]
+        self.parts.append((self._numbered(words.dictionary, lang)[words.indices.to_numpy(zero_copy_only=False)], followed))
+
+    def _numbered(self, words: pa.Array, lang: str) -> np.ndarray:
+        if lang not in self.numbers:
+            self.numbers[lang] = {}
+            self.langs.append(lang)
+        numbers, lang_at = self.numbers[lang], self.langs.index(lang)
+        out = np.empty(len(words), np.int32)
+        for i, word in enumerate(words.to_pylist()):
+            number = numbers.get(word)
+            if number is None:
+                number = numbers[word] = len(self.known)
+                self.known.append(word)
+                self.lang_of.append(lang_at)
+            out[i] = number
+        return out
 
     def closed(self) -> Shard:
-        """Ready to be mined: ``words`` by number, and ``word``, ``piece``, ``lang`` by place."""
-        self.word, self.piece, self.lang = (np.concatenate(x) for x in zip(*self.parts))
-        self.n = len(self.word)
-        self.words = pa.array(self.numbers, pa.large_binary()).cast(pa.large_string())
-        self.word_hash = np.array([xxhash.xxh64_intdigest(w, 1) for w in self.numbers], np.uint64)
+        """Ready to be mined: ``word`` and ``followed`` (in its piece) by place, hashes and languages by word."""
+        self.word, self.followed = (np.concatenate(x) for x in zip(*self.parts))
+        self.words = pa.array(self.known, pa.large_binary()).cast(pa.large_string())
+        self.word_hash = np.array([xxhash.xxh64_intdigest(w, 1) for w in self.known], np.uint64)
+        self.word_lang = np.array(self.lang_of, np.int32)
         self.lang_hash = np.array([xxhash.xxh64_intdigest(x.encode(), 2) for x in self.langs], np.uint64)
-        self.parts, self.numbers = [], {}
+        self.parts, self.numbers, self.known, self.lang_of = [], {}, [], []
         return self
 
     def frequent(
@@ -112,34 +123,36 @@ class Shard:
         ``first`` is where a phrase first stands. Longer phrases are looked for where both their parts were kept.
         With ``words``, that function of the hashes chooses the words.
         """
-        at = np.arange(self.n, dtype=np.int32)
-        key = self.lang.astype(np.int64) * len(self.words) + self.word
-        hashed = None
+        n = len(self.word)
+        at, ids, distinct = np.arange(n, dtype=np.int32), self.word, len(self.words)
+        number = hashes = None
         for k in range(1, longest + 1):
-            ids, distinct = pd.factorize(key)
-            ids = ids.astype(np.int32)
-            first = np.empty(len(distinct), np.int32)
+            first = np.empty(distinct, np.int32)
             first[ids[::-1]] = at[::-1]
-            last_word = self.word_hash[self.word[first + k - 1]]
             if k == 1:
-                hashes = _mixed(_mixed(self.lang_hash[self.lang[first]]) ^ last_word)
+                hashes = _mixed(_mixed(self.lang_hash[self.word_lang]) ^ self.word_hash)
             else:
-                hashes = _mixed(hashed[first] * MIX ^ last_word)
-            counts = np.bincount(ids, minlength=len(distinct))
+                hashes = _mixed(hashes[number[first]] * MIX ^ self.word_hash[self.word[first + k - 1]])
+            counts = np.bincount(ids, minlength=distinct)
             good = words(hashes) if words and k == 1 else kept(hashes, counts)
-            yield k, hashes[good], counts[good], self.lang[first[good]], first[good]
+            yield k, hashes[good], counts[good], self.word_lang[self.word[first[good]]], first[good]
             if k == longest or not good.any():
                 return
-            # Per place the number and hash of the phrase that starts there, or none.
-            number = np.full(self.n + 1, -1, np.int32)
-            hashed = np.zeros(self.n, np.uint64)
+            # The number of the phrase that starts at each place, or -1.
+            number = np.full(n + 1, -1, np.int32)
             there = good[ids]
-            number[at[there]] = ids[there]
-            hashed[at[there]] = hashes[ids[there]]
-            at = at[there]
-            at = at[at + k < self.n]
-            at = at[(number[at + 1] >= 0) & (self.piece[at] == self.piece[at + k])]
-            key = number[at].astype(np.int64) * len(distinct) + number[at + 1]
+            at, ids = at[there], ids[there]
+            number[at] = ids
+            # Phrases that overlap are in one piece; of words that has to be seen.
+            at = at[(number[at + 1] >= 0) & self.followed[at]] if k == 1 else at[number[at + 1] >= 0]
+            key = number[at].astype(np.int64)
+            key *= distinct
+            key += number[at + 1]
+            del there, ids
+            ids, known = pd.factorize(key)
+            del key
+            ids, distinct = ids.astype(np.int32), len(known)
+            del known
 
     def phrases(self, first: np.ndarray, k: int) -> pa.Array:
         columns = [self.words.take(pa.array(self.word[first + j])) for j in range(k)]
@@ -155,23 +168,27 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[Shard]:
     """The texts of a task in shards. Batches hold ``lang``, ``text``."""
-    shard, texts, langs, size = Shard(), [], [], 0
+    shard, texts, size = Shard(), defaultdict(list), 0
+
+    def flush() -> None:
+        for lang, bodies in texts.items():
+            shard.add(bodies, lang)
+        texts.clear()
+
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
             body = text.as_buffer()
             if body is None or not len(body):
                 continue
-            texts.append(body.to_pybytes())
-            langs.append(lang.as_py())
+            texts[lang.as_py()].append(body.to_pybytes())
             size += len(body)
             if size >= min(SLICE, shard_bytes):
-                shard.add(texts, langs)
-                texts, langs, size = [], [], 0
+                flush()
+                size = 0
             if shard.size >= shard_bytes:
                 yield shard.closed()
                 shard = Shard()
-    if texts:
-        shard.add(texts, langs)
+    flush()
     if shard.size:
         yield shard.closed()
 
@@ -233,8 +250,8 @@ def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, sha
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, shard_bytes):
-            langs = pa.array(list(shard.langs), pa.string())
-            words = np.bincount(shard.lang, minlength=len(langs))
+            langs = pa.array(shard.langs, pa.string())
+            words = np.bincount(shard.word_lang[shard.word], minlength=len(langs))
             yield _rows(langs, pa.array([""] * len(langs), pa.string()), 0, words)
             for k, _, n, lang, first in shard.frequent(longest, lambda hashes, _: listed(shared.value, hashes)):
                 for at in range(0, len(first), OUT_ROWS):
