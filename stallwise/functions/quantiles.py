@@ -1,17 +1,21 @@
-"""Exact, linearly interpolated quantiles that survive very large groups.
-
-Spark's ``percentile`` keeps one counter per distinct value of a group in one
-task. That is right for small groups and impossible for a group with a large
-part of all rows, such as the whole table. Two ways are therefore offered:
-
-* ``quantiles_of_few_groups`` finds order statistics by narrowing: count rows per
-  cell of the value range, then rank only the values in the cells that hold the
-  wanted ranks. Two scans, both aggregating map-side, whatever the group size.
-* ``aggregate_with_quantiles`` serves any number of groups: ``percentile`` for
-  groups of ordinary size, narrowing for the few that are hot.
-
-Both ignore null and NaN, take negative zero as zero, and interpolate by one formula,
-that of ``percentile``: results do not depend on the size of a group, to the last bit.
+"""Exact, linearly interpolated quantiles by distributed radix selection.
+
+Every double has a 64-bit key of the same order. A round counts the rows of each
+group per next 21 or 22 bits of the key and keeps, for every wanted rank, the one cell
+that holds it; three rounds reach single values. Most ranks end sooner: the lowest
+and the highest value of a cell are known, so a cell of one or two values, or a rank
+at its edge, needs no further round.
+
+Groups of every size, and any number of them, go the same way. The first round reads
+the rows and combines map-side; only rows in cells with undecided ranks go on, as
+different values with a count, dealt out by (group, value), so neither a hot group
+nor a hot value meets in one task. What is sorted per group are its cells: a thousand
+per power of two that its values span, four million at most. Wanted cells are joined
+by (group, cell); their number decides how. Nothing runs before the result is asked
+for.
+
+Null and NaN are ignored, negative zero is zero, infinities are values. Between two
+values the result is interpolated as ``percentile`` does it, to the last bit.
 """
 
 from __future__ import annotations
@@ -21,21 +25,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallwise.sources.staging import stage
-
-# A group with more rows than this is handled by narrowing.
-HOT_GROUP_ROWS = 1_000_000
-# At most this many groups are handled so. The next largest group then holds at
-# most 1/100,000 of all rows, and the broadcast list of hot keys stays small.
-MAX_HOT_GROUPS = 100_000
-
-# Cells per factor e of the value: each is 0.024 % wide. Amounts in cents up to a
-# million have at most 60,000 cells and at most 25,000 different values per cell.
-CELLS_PER_E_FOLD = 4096
-
-
-# A cell number that never decreases with the value ``_v``.
-CELL = f"CAST(signum(_v) * floor(ln(1 + abs(_v)) * {CELLS_PER_E_FOLD}) AS BIGINT)"
+# Bits of the key left after each round.
+ROUNDS = (42, 21, 0)
+# Smallest normal double, and how many doubles there are between two powers of two.
+NORMAL, PER_OCTAVE = 2.0**-1022, 2**52
 
 
 def _number(value: str) -> str:
@@ -43,77 +36,94 @@ def _number(value: str) -> str:
     return f"CASE WHEN NOT isnan(CAST(`{value}` AS DOUBLE)) THEN CAST(`{value}` AS DOUBLE) + 0.0D END"
 
 
-def _same(left: str, right: str, keys: Sequence[str], *others: str) -> Column:
-    """Join condition: equal keys, nulls included, and further equal columns."""
-    pairs = [f"{left}.`{k}` <=> {right}._k{i}" for i, k in enumerate(keys)]
-    return F.expr(" AND ".join([*pairs, *others]))
+def order_key(value: Column) -> Column:
+    """A long that orders doubles as they are ordered, one step per double; not for NaN.
+
+    The exponent comes from a logarithm that may be off by one near powers of two
+    and is put right by the quotient; powers of two and quotients by them are exact.
+    """
+    size = F.abs(value)
+    about = F.floor(F.log2(size))
+    quotient = size / F.pow(F.lit(2.0), about)
+    exponent = F.when(quotient >= 2, about + 1).when(quotient < 1, about - 1).otherwise(about)
+    fraction = size / F.pow(F.lit(2.0), exponent) - 1
+    normal = (exponent + 1023) * F.lit(PER_OCTAVE) + (fraction * F.lit(float(PER_OCTAVE))).cast("long")
+    key = (
+        F.when(size < NORMAL, (size / F.lit(5e-324)).cast("long"))
+        .when(size == float("inf"), F.lit(2047 * PER_OCTAVE))
+        .otherwise(normal)
+    )
+    return F.when(value < 0, -key).otherwise(key)
 
 
-def _numbered(keys: Sequence[str]) -> list[str]:
-    return [f"`{k}` AS _k{i}" for i, k in enumerate(keys)]
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    """Join condition: equal columns, nulls included."""
+    return F.expr(" AND ".join(f"{left}.`{c}` <=> {right}.`{c}`" for c in columns))
 
 
-def quantiles_of_few_groups(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
-) -> DataFrame:
+def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Quantiles per group, one row per (keys, prob): columns keys, ``prob``, ``value``.
 
-    ``keys`` must have a bounded number of groups (columns of a table, clusters,
-    listed hot keys): the wanted cells, at most two per group and quantile, are
-    broadcast. Group size is unlimited. Null and NaN values are ignored; groups
-    without values give no row.
+    Groups without values give no row. Keys may be null: null is a group.
     """
+    keys = list(keys)
     quoted = [f"`{k}`" for k in keys]
-    group = ", ".join(quoted)
     rows = (
         df.selectExpr(*quoted, f"{_number(value)} AS _v")
         .where("_v IS NOT NULL")
-        .selectExpr(*quoted, "_v", f"{CELL} AS _cell")
-        .alias("r")
+        .withColumn("_key", order_key(F.col("_v")))
+        .withColumn("_n", F.lit(1).cast("long"))
     )
-
-    # How many rows lie up to each cell, and so which cells hold a wanted rank.
-    asked = (
-        rows.groupBy(*keys, "_cell")
-        .agg(F.expr("count(1) AS _n"))
-        .selectExpr(
-            *quoted, "_cell", "_n",
-            f"sum(_n) OVER (PARTITION BY {group} ORDER BY _cell) - _n AS _before",
-            f"sum(_n) OVER (PARTITION BY {group}) - 1 AS _last",
-        )
-        .selectExpr("*", f"explode(array({', '.join(f'{float(p)!r}D' for p in probs)})) AS prob")
-        .selectExpr(
-            *_numbered(keys), "_cell AS _asked", "_n", "_before", "prob",
-            "floor(prob * _last) AS _lo", "ceil(prob * _last) AS _hi",
-            "prob * _last AS _at",
+    # First round: the ranks of a group follow from its size.
+    ranks = ", ".join(
+        f"named_struct('prob', {p!r}D, 'end', {end}, 'rank', CAST({cut}({p!r}D * (_rows - 1)) AS BIGINT))"
+        for p in sorted({float(p) for p in probs}) for end, cut in ((0, "floor"), (1, "ceil"))
+    )
+    group = ", ".join(quoted) or "NULL"
+    cells = _cells(rows, keys, ROUNDS[0]).selectExpr("*", f"sum(_n) OVER (PARTITION BY {group}) AS _rows")
+    found = [_hits(cells.selectExpr("*", f"array({ranks}) AS _wanted"), keys)]
+    for shift, before in zip(ROUNDS[1:], ROUNDS):
+        wanted = (
+            found[-1].where("_value IS NULL").groupBy(*keys, "_rows", "_cell")
+            .agg(F.expr("sort_array(collect_list(named_struct('prob', prob, 'end', end, 'rank', rank))) AS _wanted"))
+            .withColumnRenamed("_cell", "_parent")
         )
-        .where("_hi >= _before AND _lo < _before + _n")
-        .drop("_n")
+        inside = rows.withColumn("_parent", F.shiftright("_key", before)).alias("r").join(
+            wanted.alias("w"), _same("r", "w", [*keys, "_parent"])
+        ).select("r.*", "_rows", "_wanted")
+        if before == ROUNDS[0]:
+            # The last round starts from the different values in these cells.
+            inside = inside.groupBy(*[c for c in inside.columns if c != "_n"]).agg(F.sum("_n").alias("_n"))
+            rows = inside.drop("_parent", "_rows", "_wanted")
+        found.append(_hits(_cells(inside, [*keys, "_parent", "_rows", "_wanted"], shift), keys))
+    ends = found[0].where("_value IS NOT NULL").select(*keys, "_rows", "prob", "end", "_value")
+    for more in found[1:]:
+        ends = ends.unionByName(more.where("_value IS NOT NULL").select(*keys, "_rows", "prob", "end", "_value"))
+    at, low, high = "(prob * (_rows - 1))", "max(CASE WHEN end = 0 THEN _value END)", "max(CASE WHEN end = 1 THEN _value END)"
+    return (
+        ends.groupBy(*keys, "_rows", "prob").agg(F.expr(f"{low} AS _lo"), F.expr(f"{high} AS _hi"))
+        .selectExpr(*quoted, "prob", f"CASE WHEN _lo = _hi THEN _lo ELSE (ceil{at} - {at}) * _lo + ({at} - floor{at}) * _hi END AS value")
     )
-    asked = F.broadcast(asked).alias("a")
-
-    # The different values of those cells, with their numbers of rows, in order.
-    # One hash partitioning by group serves the ranking and the final pick.
-    near = (
-        rows.join(asked, _same("r", "a", keys, "_cell = _asked"), "left_semi")
-        .groupBy(*keys, "_cell", "_v")
-        .agg(F.expr("count(1) AS _n"))
-        .repartition(*keys)
-        .selectExpr("*", f"sum(_n) OVER (PARTITION BY {group}, _cell ORDER BY _v) AS _upto")
-        .alias("n")
+
+
+def _cells(rows: DataFrame, keys: Sequence[str], shift: int) -> DataFrame:
+    """Per (keys, ``_cell``): rows, rows in earlier cells of the keys, lowest and highest value."""
+    group = ", ".join(f"`{k}`" for k in keys) or "NULL"
+    return (
+        rows.groupBy(*keys, F.shiftright("_key", shift).alias("_cell"))
+        .agg(F.sum("_n").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        .selectExpr("*", f"sum(_n) OVER (PARTITION BY {group} ORDER BY _cell) - _n AS _before")
     )
+
+
+def _hits(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The wanted ranks that fall into each cell, counted from its start, with their value where it is known."""
+    inside = "filter(_wanted, w -> w.rank >= _before AND w.rank < _before + _n)"
     return (
-        near.join(asked, _same("n", "a", keys, "_cell = _asked"))
-        .selectExpr(*[f"n.`{k}`" for k in keys], "prob", "_lo", "_hi", "_at", "_v", "_before + _upto AS _upto", "_n")
-        .groupBy(*keys, "prob", "_lo", "_hi", "_at")
-        .agg(
-            F.expr("max(CASE WHEN _lo < _upto AND _lo >= _upto - _n THEN _v END) AS _at_lo"),
-            F.expr("max(CASE WHEN _hi < _upto AND _hi >= _upto - _n THEN _v END) AS _at_hi"),
-        )
-        .selectExpr(
-            *quoted, "prob",
-            "CASE WHEN _at_lo = _at_hi THEN _at_lo ELSE (_hi - _at) * _at_lo + (_at - _lo) * _at_hi END AS value",
-        )
+        cells.selectExpr(*[f"`{k}`" for k in keys], "_rows", "_cell", "_n", "_min", "_max", "_before", f"inline({inside})")
+        .withColumn("rank", F.expr("rank - _before"))
+        .withColumn("_value", F.expr("CASE WHEN rank = 0 THEN _min WHEN rank = _n - 1 OR _min = _max THEN _max END"))
+        .drop("_n", "_min", "_max", "_before")
     )
 
 
@@ -125,7 +135,7 @@ def unpivoted(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """Whole-table quantiles of several columns: ``column``, ``prob``, ``value``."""
-    return quantiles_of_few_groups(unpivoted(df, columns), ["column"], "value", probs)
+    return group_quantiles(unpivoted(df, columns), ["column"], "value", probs)
 
 
 def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
@@ -146,20 +156,12 @@ def with_row(df: DataFrame, name: str, row: DataFrame) -> DataFrame:
     return df.withColumn(name, row.select(F.struct(*row.columns).alias("_row")).scalar())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of the groups with more than ``HOT_GROUP_ROWS`` rows, as ``_k0`` ...
-
-    The list is short by construction and safe to broadcast; every group left
-    out has at most max(HOT_GROUP_ROWS, rows / MAX_HOT_GROUPS) rows.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.expr("count(1) AS _rows"))
-        .where(F.col("_rows") > HOT_GROUP_ROWS)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_GROUPS)
-        .selectExpr(*_numbered(keys), "true AS _hot")
-    )
+def quantiles_by_key(df: DataFrame, keys: Sequence[str], quantiles: dict[str, tuple[str, float]]) -> DataFrame:
+    """One row per group with a value: keys and one column per quantile ``{name: (column, prob)}``."""
+    columns = sorted({c for c, _ in quantiles.values()})
+    probs = sorted({p for _, p in quantiles.values()})
+    found = group_quantiles(unpivoted(df, columns, keys), [*keys, "column"], "value", probs)
+    return found.groupBy(*keys).agg(*[F.expr(f"{_value_of(c, p)} AS `{name}`") for name, (c, p) in quantiles.items()])
 
 
 def aggregate_with_quantiles(
@@ -170,37 +172,11 @@ def aggregate_with_quantiles(
 ) -> DataFrame:
     """``groupBy(keys).agg(...)`` plus exact quantiles ``{name: (column, prob)}``.
 
-    Group sizes are looked at first, in a job that reads the keys alone; only if
-    there are hot groups does the plan treat them apart. The aggregates themselves
-    must merge from small partial states. Null keys form a group; filter them
-    first where they should not.
+    The aggregates must merge from small partial states. Null keys form a group;
+    filter them first where they should not.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys)
-    if hot.isEmpty():
-        return df.groupBy(*keys).agg(
-            *aggregates, *[F.expr(f"percentile({_number(c)}, {float(p)!r}D) AS `{name}`") for name, (c, p) in quantiles.items()]
-        )
-
-    hot = F.broadcast(stage(hot, "hot-keys")).alias("h")
-    rows = df.alias("d")
-    ordinary = [
-        F.expr(f"percentile(CASE WHEN _hot IS NULL THEN {_number(c)} END, {float(p)!r}D) AS `{name}`")
-        for name, (c, p) in quantiles.items()
-    ]
-    base = rows.join(hot, _same("d", "h", keys), "left").select("d.*", "_hot").groupBy(*keys).agg(*aggregates, *ordinary)
-
-    columns = sorted({c for c, _ in quantiles.values()})
-    probs = sorted({p for _, p in quantiles.values()})
-    hot_rows = rows.join(hot, _same("d", "h", keys), "left_semi")
-    found = quantiles_of_few_groups(unpivoted(hot_rows, columns, keys), [*keys, "column"], "value", probs)
-    hot_values = (
-        found.groupBy(*keys)
-        .agg(*[F.expr(f"{_value_of(c, p)} AS `_hot_{name}`") for name, (c, p) in quantiles.items()])
-        .selectExpr(*_numbered(keys), *[f"`_hot_{name}`" for name in quantiles])
-    )
-    joined = base.alias("b").join(F.broadcast(hot_values).alias("v"), _same("b", "v", keys), "left")
-    return joined.selectExpr(
-        *[f"`{c}`" for c in base.columns if c not in quantiles],
-        *[f"coalesce(`{n}`, `_hot_{n}`) AS `{n}`" for n in quantiles],
-    )
+    base = df.groupBy(*keys).agg(*aggregates)
+    found = quantiles_by_key(df, keys, quantiles)
+    joined = base.alias("b").join(found.alias("q"), _same("b", "q", keys), "left")
+    return joined.select(*[F.col(f"b.`{c}`") for c in base.columns], *[F.col(f"q.`{n}`") for n in quantiles])

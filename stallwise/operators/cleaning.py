@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stallwise import schema as S
 from stallwise.functions.columns import holds
-from stallwise.functions.quantiles import aggregate_with_quantiles, quantile_row
+from stallwise.functions.quantiles import quantile_row, quantiles_by_key
 from stallwise.sources.staging import stage
 
 
@@ -65,33 +65,27 @@ def split_price_above_quantile(df: DataFrame, upper_quantile: float = 0.99) -> t
 
 
 def category_medians(df: DataFrame, category: str = S.CATEGORY_ID) -> DataFrame:
-    """Median price per category, and of the whole table under a null category."""
-    known = df.where(F.col(S.PRICE).isNotNull()).select(category, S.PRICE)
-    per_category = aggregate_with_quantiles(
-        known.where(F.col(category).isNotNull()), [category], [], {"median": (S.PRICE, 0.5)}
-    )
-    overall = quantile_row(known, {"median": (S.PRICE, 0.5)})
-    return per_category.unionByName(overall.select(F.lit(None).cast("string").alias(category), "median"))
+    """Median price per known category: ``category``, ``median``."""
+    return quantiles_by_key(df.where(F.col(category).isNotNull()), [category], {"median": (S.PRICE, 0.5)})
 
 
 def impute_price(df: DataFrame, category: str = S.CATEGORY_ID) -> DataFrame:
     """Fill missing prices with the category's median, else with the overall median.
 
-    The medians are staged: their written size decides whether they are broadcast
-    or joined by a shuffle, in which case adaptive execution splits hot categories.
+    Only rows without a price meet the medians; all others pass as they are read. So
+    what is joined, and shuffled if the medians are many, are the missing prices.
     """
     if S.PRICE not in df.columns or category not in df.columns:
         return df
-    medians = stage(category_medians(df, category), "medians")
-    overall = medians.where(F.col(category).isNull()).agg(F.max("median").alias("median")).scalar()
-    lookup = medians.where(F.col(category).isNotNull()).select(
-        F.col(category).alias("_category"), F.col("median").alias("_median")
-    )
-    return (
-        df.join(lookup, F.col(category) == F.col("_category"), "left")
-        .withColumn(S.PRICE, F.coalesce(S.PRICE, "_median", overall))
+    known, missing = df.where(F.col(S.PRICE).isNotNull()), df.where(F.col(S.PRICE).isNull())
+    lookup = category_medians(known, category).select(F.col(category).alias("_category"), F.col("median").alias("_median"))
+    overall = quantile_row(known, {"median": (S.PRICE, 0.5)}).scalar()
+    filled = (
+        missing.join(lookup, F.col(category) == F.col("_category"), "left")
+        .withColumn(S.PRICE, F.coalesce("_median", overall))
         .select(*df.columns)
     )
+    return known.unionByName(filled)
 
 
 def clean_listings(df: DataFrame, max_price: float = S.MAX_PRICE) -> DataFrame:

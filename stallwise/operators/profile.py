@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from stallwise import schema as S
 from stallwise.functions.columns import percent
 from stallwise.functions.counts import distinct_per_key, size_summary, value_counts
-from stallwise.functions.quantiles import column_quantiles, quantiles_of_few_groups, unpivoted
+from stallwise.functions.quantiles import column_quantiles, group_quantiles, unpivoted
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -287,7 +287,7 @@ def seller_preview(df: DataFrame, n: int = 20) -> DataFrame:
         F.coalesce(F.sum(S.STOCK), F.lit(0)).alias("total_stock"),
     )
     medians = F.broadcast(
-        quantiles_of_few_groups(rows, [S.SELLER], S.PRICE, [0.5]).select(
+        group_quantiles(rows, [S.SELLER], S.PRICE, [0.5]).select(
             F.col(S.SELLER).alias("_seller"), F.col("value").alias("median_price")
         )
     )

@@ -3,7 +3,6 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from stallwise.functions import quantiles as Q
 from stallwise.functions.columns import differs, is_blank, log1p_from_zero
 from stallwise.operators import audit, cleaning
 
@@ -52,8 +51,7 @@ def test_imputation_after_cleaning_spreads_no_outlier(listings):
     assert max(r["price"] for r in cleaning.clean_listings(df).collect()) == 10.0
 
 
-def test_imputation_with_hot_categories(listings, monkeypatch):
-    monkeypatch.setattr(Q, "HOT_GROUP_ROWS", 5)
+def test_imputation_keeps_known_prices(listings):
     prices = [float(p) for p in (9, 2, 7, 7, 1, 30, 12, 4)]
     df = listings(*[{"category_id": "hot", "price": p} for p in prices], {"category_id": "hot", "price": None})
     filled = [r["price"] for r in cleaning.impute_price(df).collect()]

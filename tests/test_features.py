@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwise import schema as S
-from stallwise.functions import quantiles as Q
 from stallwise.operators import features, scaling
 from stallwise.plans.segmentation import seller_table
 
@@ -44,16 +43,6 @@ def test_seller_features_follow_the_null_rules(shop):
     assert list(one) == features.SELLER_FEATURES
 
 
-def test_a_hot_seller_gives_the_same_features(listings, monkeypatch):
-    df = listings(
-        *[{"seller_nickname": "big", "url": str(i), "price": 1.0 + i % 13, "stock": i % 7} for i in range(60)],
-        *[{"seller_nickname": f"s{i}", "url": f"x{i}", "price": float(i)} for i in range(1, 9)],
-    )
-    ordinary = by_seller(features.seller_features(df))
-    monkeypatch.setattr(Q, "HOT_GROUP_ROWS", 20)
-    assert by_seller(features.seller_features(df)) == ordinary
-
-
 def test_log_features_of_null_and_negative(spark):
     df = spark.createDataFrame([(None, -4.0), (3.0, 0.0)], "avg_price double, avg_stock double")
     rows = features.log_features(df).select("log_avg_price", "log_avg_stock").collect()
