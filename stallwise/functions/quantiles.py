@@ -36,24 +36,24 @@ def _number(value: str) -> str:
     return f"CASE WHEN NOT isnan(CAST(`{value}` AS DOUBLE)) THEN CAST(`{value}` AS DOUBLE) + 0.0D END"
 
 
-def order_key(value: Column) -> Column:
-    """A long that orders doubles as they are ordered, one step per double; not for NaN.
+def with_order_key(df: DataFrame, value: str, name: str = "_key") -> DataFrame:
+    """Adds a long that orders doubles as they are ordered, one step per double; not for NaN.
 
     The exponent comes from a logarithm that may be off by one near powers of two
     and is put right by the quotient; powers of two and quotients by them are exact.
+    Step by step, so that each is worked out once.
     """
-    size = F.abs(value)
-    about = F.floor(F.log2(size))
-    quotient = size / F.pow(F.lit(2.0), about)
-    exponent = F.when(quotient >= 2, about + 1).when(quotient < 1, about - 1).otherwise(about)
-    fraction = size / F.pow(F.lit(2.0), exponent) - 1
-    normal = (exponent + 1023) * F.lit(PER_OCTAVE) + (fraction * F.lit(float(PER_OCTAVE))).cast("long")
-    key = (
-        F.when(size < NORMAL, (size / F.lit(5e-324)).cast("long"))
-        .when(size == float("inf"), F.lit(2047 * PER_OCTAVE))
-        .otherwise(normal)
+    quotient = f"abs(`{value}`) / pow(2D, _about)"
+    normal = f"(_exponent + 1023) * {PER_OCTAVE}L + CAST((abs(`{value}`) / pow(2D, _exponent) - 1) * {PER_OCTAVE}D AS BIGINT)"
+    size = f"""CASE WHEN abs(`{value}`) < {NORMAL!r}D THEN CAST(abs(`{value}`) / 4.9E-324D AS BIGINT)
+        WHEN abs(`{value}`) = double('inf') THEN {2047 * PER_OCTAVE}L ELSE {normal} END"""
+    return (
+        df.selectExpr("*", f"floor(log2(least(abs(`{value}`), 1.7976931348623157E308D))) AS _about")
+        .selectExpr("*", f"{quotient} AS _quotient")
+        .selectExpr("*", "_about + CASE WHEN _quotient >= 2 THEN 1 WHEN _quotient < 1 THEN -1 ELSE 0 END AS _exponent")
+        .selectExpr("*", f"{size} AS _size")
+        .selectExpr(*[f"`{c}`" for c in df.columns], f"CASE WHEN `{value}` < 0 THEN -_size ELSE _size END AS `{name}`")
     )
-    return F.when(value < 0, -key).otherwise(key)
 
 
 def _same(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -68,12 +68,7 @@ def group_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     """
     keys = list(keys)
     quoted = [f"`{k}`" for k in keys]
-    rows = (
-        df.selectExpr(*quoted, f"{_number(value)} AS _v")
-        .where("_v IS NOT NULL")
-        .withColumn("_key", order_key(F.col("_v")))
-        .withColumn("_n", F.lit(1).cast("long"))
-    )
+    rows = with_order_key(df.selectExpr(*quoted, f"{_number(value)} AS _v").where("_v IS NOT NULL"), "_v").selectExpr("*", "1L AS _n")
     # First round: the ranks of a group follow from its size.
     ranks = ", ".join(
         f"named_struct('prob', {p!r}D, 'end', {end}, 'rank', CAST({cut}({p!r}D * (_rows - 1)) AS BIGINT))"

@@ -73,16 +73,19 @@ def impute_price(df: DataFrame, category: str = S.CATEGORY_ID) -> DataFrame:
     """Fill missing prices with the category's median, else with the overall median.
 
     Only rows without a price meet the medians; all others pass as they are read. So
-    what is joined, and shuffled if the medians are many, are the missing prices.
+    what is joined, and shuffled if the medians are many, are the missing prices. The
+    medians are written when this is called, so that later work does not find them anew.
     """
     if S.PRICE not in df.columns or category not in df.columns:
         return df
     known, missing = df.where(F.col(S.PRICE).isNotNull()), df.where(F.col(S.PRICE).isNull())
-    lookup = category_medians(known, category).select(F.col(category).alias("_category"), F.col("median").alias("_median"))
-    overall = quantile_row(known, {"median": (S.PRICE, 0.5)}).scalar()
+    medians = category_medians(known, category).withColumn("is_overall", F.lit(False))
+    overall = quantile_row(known, {"median": (S.PRICE, 0.5)}).select(F.lit(None).cast("string").alias(category), "median", F.lit(True).alias("is_overall"))
+    medians = stage(medians.unionByName(overall), "medians")
+    lookup = medians.where("NOT is_overall").select(F.col(category).alias("_category"), F.col("median").alias("_median"))
     filled = (
         missing.join(lookup, F.col(category) == F.col("_category"), "left")
-        .withColumn(S.PRICE, F.coalesce("_median", overall))
+        .withColumn(S.PRICE, F.coalesce("_median", medians.where("is_overall").select("median").scalar()))
         .select(*df.columns)
     )
     return known.unionByName(filled)

@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwise.functions import quantiles as Q
-from stallwise.operators.cleaning import clean_listings
 from stallwise.operators.daily import seller_daily_features
 from stallwise.operators.features import seller_features
 
@@ -77,7 +76,7 @@ def test_keys_order_all_doubles(spark):
     for k in range(-1074, 1024):
         values += [2.0**k, float(np.nextafter(2.0**k, 0)), float(np.nextafter(2.0**k, np.inf))]
     rows = [(float(v),) for v in values] + [(-float(v),) for v in values if v]
-    for row in spark.createDataFrame(rows, "v double").select("v", Q.order_key(F.col("v")).alias("k")).collect():
+    for row in Q.with_order_key(spark.createDataFrame(rows, "v double"), "v", "k").collect():
         (bits,) = struct.unpack("<q", struct.pack("<d", abs(row.v)))
         assert row.k == (-bits if row.v < 0 else bits)
 
@@ -100,7 +99,7 @@ def test_one_group_of_ten_million_rows(spark):
 def test_no_job_before_the_action(spark, listings):
     items = listings({"price": 1.0}, {"price": None})
     spark.sparkContext.setJobGroup("lazy", "nothing runs")
-    seller_features(clean_listings(items))
+    seller_features(items)
     seller_daily_features(items)
     assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
