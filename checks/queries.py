@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from stallwise.operators import (
     daily,
     distributions,
     features,
+    kmeans,
     mart,
     metrics,
     profile,
@@ -401,6 +403,24 @@ def kmeans_evaluation(spark, sf_dir):
     return clustering.evaluate_kmeans_range(sellers(spark, sf_dir))
 
 
+@query
+def kmeans_facts(spark, sf_dir):
+    """What holds of any fit: all sellers labelled with the nearest center, costs as stated."""
+    points, _ = clustering.staged_points(sellers(spark, sf_dir), S.MODEL_FEATURES, "robust")
+    parts = []
+    for k, model in kmeans.fit_all(points, range(2, 9)).items():
+        centers = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centers])
+        distances = F.transform(centers, lambda c: F.aggregate(F.zip_with(c, "features", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y))
+        rows = clustering.labels(model, points).withColumn("distances", distances)
+        own = F.col("distances")[F.col("cluster")]
+        parts.append(rows.agg(
+            F.lit(k).alias("k"), F.count(F.lit(1)).alias("sellers"), F.countDistinct("cluster").alias("clusters"),
+            F.every(own <= F.array_min("distances") + 1e-9).alias("nearest"),
+            (F.abs(F.sum(own) - model.inertia) <= 1e-6 * model.inertia).alias("inertia_holds"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def scaler_comparison(spark, sf_dir):
     return clustering.scaler_comparison(sellers(spark, sf_dir))

@@ -2,19 +2,16 @@
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallwise import schema as S
+from stallwise.operators.kmeans import Centers, fit_all
 from stallwise.operators.metrics import (
     calinski_harabasz_of,
     cluster_geometry,
@@ -27,9 +24,6 @@ from stallwise.operators.scaling import FittedScaler, fit_fills, fit_scaler, mod
 from stallwise.operators.summary import canonical_clusters
 from stallwise.sources.staging import stage
 
-# Independent fits run side by side, so that short stages of one fill the gaps of another.
-PARALLEL_FITS = 16
-
 
 @dataclass(frozen=True)
 class Segmentation:
@@ -38,45 +32,11 @@ class Segmentation:
     sellers: DataFrame
     metrics: DataFrame
     scaler: FittedScaler
-    model: KMeansModel
+    model: Centers
     clusters: DataFrame
     features: list[str]
 
 
-def fit_kmeans(
-    points: DataFrame, k_values: Iterable[int], seed: int = 42, n_init: int = 20, max_iter: int = 300
-) -> dict[int, KMeansModel]:
-    """For each k the model of lowest cost among ``n_init`` seeded fits.
-
-    Only centers and costs come to the driver. All fits share one cached copy of
-    the vectors, in executor memory or on executor disks; a lost part is read
-    again from the staged points. Of equal costs the first attempt wins. A best
-    fit that used all ``max_iter`` steps is reported by a warning.
-    """
-    vectors = points.select(array_to_vector("features").alias("vector")).persist(StorageLevel.MEMORY_AND_DISK)
-
-    @inheritable_thread_target(points.sparkSession)
-    def fit(task: tuple[int, int]) -> tuple[int, float, int, KMeansModel]:
-        k, attempt = task
-        model = KMeans(featuresCol="vector", predictionCol="cluster", k=k, seed=seed + attempt, maxIter=max_iter).fit(vectors)
-        return k, model.summary.trainingCost, attempt, model
-
-    tasks = [(k, attempt) for k in k_values for attempt in range(n_init)]
-    best: dict[int, tuple[float, int, KMeansModel]] = {}
-    pool = ThreadPool(min(PARALLEL_FITS, len(tasks)))
-    try:
-        for k, cost, attempt, model in pool.imap_unordered(fit, tasks):
-            if k not in best or (cost, attempt) < best[k][:2]:
-                best[k] = (cost, attempt, model)
-    finally:
-        pool.close()
-        vectors.unpersist()
-    for k, (_, attempt, model) in sorted(best.items()):
-        if model.summary.numIter >= max_iter:
-            warnings.warn(f"k={k}, attempt {attempt}: not converged after {max_iter} steps", stacklevel=2)
-    return {k: model for k, (_, _, model) in sorted(best.items())}
-
-
 def staged_points(
     sellers: DataFrame, features: Sequence[str], scaler: str, keep: Sequence[str] = (S.SELLER,)
 ) -> tuple[DataFrame, FittedScaler]:
@@ -86,10 +46,14 @@ def staged_points(
     return stage(points.repartition(S.SELLER).sortWithinPartitions(S.SELLER), "points"), fitted
 
 
-def labels(model: KMeansModel, points: DataFrame, name: str = "cluster") -> DataFrame:
-    """Add the model's cluster number to every point."""
-    vectors = points.withColumn("vector", array_to_vector("features"))
-    return model.setPredictionCol(name).transform(vectors).drop("vector")
+def silhouette_name(distance: str) -> str:
+    """Column name of a mean silhouette: the plain name is the Euclidean one."""
+    return {"euclidean": "silhouette", "squared": "silhouette_sq"}[distance]
+
+
+def labels(model: Centers, points: DataFrame, name: str = "cluster") -> DataFrame:
+    """Add the number of the nearest center to every point."""
+    return points.withColumn(name, model.nearest(F.col("features")))
 
 
 def evaluate_kmeans_range(
@@ -103,12 +67,13 @@ def evaluate_kmeans_range(
 ) -> DataFrame:
     """One row per k: inertia, silhouette, Davies-Bouldin, Calinski-Harabasz, largest share.
 
-    All k are scored together. ``distance`` selects the silhouette: ``squared``
-    grows linearly with the sellers, ``euclidean`` quadratically.
+    All k are fitted together and scored together. ``distance`` selects the silhouette:
+    ``squared`` (column ``silhouette_sq``) grows linearly with the sellers, ``euclidean``
+    (column ``silhouette``) quadratically.
     """
     selected = model_features(sellers, features)
     points, _ = staged_points(sellers, selected, scaler)
-    models = fit_kmeans(points, list(k_values), seed, n_init)
+    models = fit_all(points, k_values, seed, n_init)
     labelled = points
     for k, model in models.items():
         labelled = labels(model, labelled, f"_k{k}")
@@ -119,7 +84,7 @@ def evaluate_kmeans_range(
 
     geometry = stage(cluster_geometry(runs_of, ["k"]), "geometry")
     inertia = points.sparkSession.createDataFrame(
-        [(k, float(m.summary.trainingCost)) for k, m in models.items()], "k int, inertia double"
+        [(k, m.inertia) for k, m in models.items()], "k int, inertia double"
     )
     if distance == "euclidean":
         parts = [silhouette_euclidean(runs_of.where(F.col("k") == k), S.SELLER) for k in models]
@@ -129,11 +94,11 @@ def evaluate_kmeans_range(
     else:
         scored = silhouette_squared(runs_of, ["k"])
     return (
-        inertia.join(scored.groupBy("k").agg(F.avg("sil_sample").alias("silhouette")), "k")
+        inertia.join(scored.groupBy("k").agg(F.avg("sil_sample").alias(silhouette_name(distance))), "k")
         .join(davies_bouldin_of(geometry, ["k"]), "k")
         .join(calinski_harabasz_of(geometry, ["k"]), "k")
         .join(cluster_max_pct(runs_of, ["k"]), "k")
-        .select("k", "inertia", "silhouette", "davies_bouldin", "calinski_harabasz", "cluster_max_pct")
+        .select("k", "inertia", silhouette_name(distance), "davies_bouldin", "calinski_harabasz", "cluster_max_pct")
         .orderBy("k")
     )
 
@@ -145,14 +110,14 @@ def scaler_comparison(sellers: DataFrame, k: int = 5, seed: int = 42, n_init: in
         for name in ("standard", "robust")
     ]
     return compared[0].unionByName(compared[1]).select(
-        "scaler", "silhouette", "davies_bouldin", "calinski_harabasz", "cluster_max_pct"
+        "scaler", silhouette_name("squared"), "davies_bouldin", "calinski_harabasz", "cluster_max_pct"
     )
 
 
-def _metrics(scored: DataFrame) -> DataFrame:
+def _metrics(scored: DataFrame, distance: str) -> DataFrame:
     geometry = stage(cluster_geometry(scored), "geometry")
-    return scored.agg(F.avg("sil_sample").alias("silhouette")).select(
-        "silhouette",
+    return scored.agg(F.avg("sil_sample").alias(silhouette_name(distance))).select(
+        silhouette_name(distance),
         davies_bouldin_of(geometry).scalar().alias("davies_bouldin"),
         calinski_harabasz_of(geometry).scalar().alias("calinski_harabasz"),
     )
@@ -174,13 +139,13 @@ def fit_segments(
     """
     selected = model_features(sellers, features)
     points, fitted = staged_points(sellers, selected, scaler, sellers.columns)
-    model = fit_kmeans(points, [k], seed, n_init)[k]
+    model = fit_all(points, [k], seed, n_init)[k]
     labelled = labels(model, points, "_raw_cluster")
     clusters = stage(canonical_clusters(labelled, "_raw_cluster", selected[0]), "clusters")
     labelled = renumbered(labelled, clusters)
     scored = silhouette_euclidean(labelled, S.SELLER) if distance == "euclidean" else silhouette_squared(labelled)
     scored = stage(scored, "segments")
-    return Segmentation(scored.drop("features"), _metrics(scored), fitted, model, clusters, selected)
+    return Segmentation(scored.drop("features"), _metrics(scored, distance), fitted, model, clusters, selected)
 
 
 def renumbered(labelled: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from stallwise.operators import clustering, metrics, summary
+from stallwise.operators import clustering, kmeans, metrics, summary
 
 
 def cloud(spark, n=240, seed=5):
@@ -106,9 +106,9 @@ def test_evaluation_has_one_row_per_k_with_metrics_in_range(shops):
     rows = clustering.evaluate_kmeans_range(shops, [2, 3, 4], ["x", "y"], n_init=2).collect()
     assert [r["k"] for r in rows] == [2, 3, 4]
     for r in rows:
-        assert -1 <= r["silhouette"] <= 1 and r["davies_bouldin"] >= 0 and r["calinski_harabasz"] > 0
+        assert -1 <= r["silhouette_sq"] <= 1 and r["davies_bouldin"] >= 0 and r["calinski_harabasz"] > 0
         assert r["inertia"] > 0 and 100 / r["k"] - 1e-9 <= r["cluster_max_pct"] <= 100
-    assert max(rows, key=lambda r: r["silhouette"])["k"] == 3
+    assert max(rows, key=lambda r: r["silhouette_sq"])["k"] == 3
 
 
 @pytest.mark.parametrize("distance", ["squared", "euclidean"])
@@ -117,7 +117,7 @@ def test_final_fit_numbers_clusters_by_size_and_scores_others(shops, distance):
     sizes = [r["sellers"] for r in summary.cluster_sizes(fitted.sellers).collect()]
     assert sizes == [90, 40, 20]
     assert fitted.sellers.columns == [*shops.columns, "cluster", "sil_sample"]
-    assert fitted.metrics.first()["silhouette"] > 0.8
+    assert fitted.metrics.first()[clustering.silhouette_name(distance)] > 0.8
     again = clustering.score_sellers(fitted, shops)
     same = again.join(fitted.sellers.select("seller_nickname", F.col("cluster").alias("c")), "seller_nickname")
     assert same.where("cluster <> c").count() == 0
@@ -148,3 +148,56 @@ def test_principal_components_are_uncorrelated(spark):
     df = spark.createDataFrame(rows, "seller_nickname string, x double, y double, z double")
     found = clustering.pca_features(df, ["x", "y", "z"]).agg(F.corr("pc1", "pc2")).first()[0]
     assert found == pytest.approx(0, abs=1e-9)
+
+
+def lloyd(points, centers, tolerance=1e-4, max_iter=300):
+    """Plain k-means from given centers: (centers, steps, cost)."""
+    for step in range(1, max_iter + 1):
+        near = ((points[:, None] - centers[None]) ** 2).sum(2).argmin(1)
+        new = np.array([points[near == i].mean(0) if (near == i).any() else c for i, c in enumerate(centers)])
+        moved, centers = ((new - centers) ** 2).sum(1) > tolerance**2, new
+        if not moved.any():
+            break
+    return centers, step, ((points[:, None] - centers[None]) ** 2).sum(2).min(1).sum()
+
+
+def test_all_fits_together_equal_plain_ones(spark):
+    points, _, df = cloud(spark)
+    chosen, weights = kmeans.candidates(df.select("features"), 7)
+    assert weights.sum() == len(points) and len(chosen) <= 2 * kmeans.ROUNDS * kmeans.PER_ROUND
+    moving = []
+    fits = kmeans.fit_all(df.repartition(5), [2, 4, 5], seed=7, n_init=4, watch=moving.append)
+    longest = 0
+    for k, fit in fits.items():
+        plain = [lloyd(points, kmeans.start(chosen, weights, k, 7 + a)) for a in range(4)]
+        longest = max(longest, *[p[1] for p in plain])
+        best = min(range(4), key=lambda a: (round(plain[a][2], 6), a))
+        assert fit.inertia == pytest.approx(plain[best][2]) and fit.steps == plain[best][1]
+        assert np.array(fit.centers) == pytest.approx(plain[best][0])
+        near = {r["id"]: r["c"] for r in df.select("id", fit.nearest(F.col("features")).alias("c")).collect()}
+        distances = ((points[:, None] - np.array(fit.centers)[None]) ** 2).sum(2)
+        assert [near[i] for i in range(len(points))] == distances.argmin(1).tolist()
+    # One scan a step for all fits, as many as the slowest of them needs.
+    assert len(moving) == longest and moving[0] == 12
+
+
+def test_candidates_do_not_depend_on_partitions(spark):
+    _, _, df = cloud(spark)
+    one, _ = kmeans.candidates(df.select("features").coalesce(1), 3)
+    many, _ = kmeans.candidates(df.select("features").repartition(7), 3)
+    assert one.tolist() == many.tolist()
+
+
+def test_fewer_different_points_than_centers(spark):
+    df = spark.createDataFrame([([1.0, 2.0],)] * 5 + [([3.0, 2.0],)] * 2, "features array<double>")
+    fit = kmeans.fit_all(df, [4], n_init=2)[4]
+    assert sorted(fit.centers) == [[1.0, 2.0], [3.0, 2.0]] and fit.inertia == 0.0
+    assert len(kmeans.fit_all(df.where("features[0] = 1"), [1], n_init=1)[1].centers) == 1
+    with pytest.raises(ValueError):
+        kmeans.fit_all(df.where("false"), [2])
+
+
+def test_fits_that_run_out_of_steps_are_reported(spark):
+    _, _, df = cloud(spark)
+    with pytest.warns(UserWarning, match="not converged"):
+        kmeans.fit_all(df, [6], n_init=1, max_iter=1)
