@@ -26,7 +26,7 @@ def read_listings_csv(
     ``columns`` names them beforehand and saves the look at the header. Large files
     are read by many tasks; ``multi_line=True`` is for files with line breaks inside
     quoted texts and makes each file one task. A row with more or fewer fields
-    than the header is an error.
+    than the header is an error, whatever columns are asked for.
     """
     names = list(columns) if columns else _csv_header(spark, path)
     text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -35,6 +35,8 @@ def read_listings_csv(
         .option("header", True)
         .option("multiLine", multi_line)
         .option("mode", "FAILFAST")
+        # Rows are looked at whole, whatever columns are asked for.
+        .option("columnPruning", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("enforceSchema", False)

@@ -74,3 +74,13 @@ def test_pca_keeps_rows_with_nulls(spark):
     rows = [(str(i), float(i), float(2 * i + (i % 3)), None if i == 2 else 1.0 * (i % 4)) for i in range(12)]
     found = clustering.pca_features(spark.createDataFrame(rows, "seller_nickname string, a double, b double, c double"), ["a", "b", "c"])
     assert found.where("pc1 IS NOT NULL AND pc2 IS NOT NULL").count() == 12
+
+
+@pytest.mark.parametrize("bad", ["s2,6,4,extra", "s3,7"])
+def test_bad_rows_fail_whatever_is_asked_for(spark, tmp_path, bad):
+    path = tmp_path / "items.csv"
+    path.write_text(f"seller_nickname,price,stock\ns1,5,3\n{bad}\n")
+    found = listings.read_listings_csv(spark, str(path))
+    for ask in (found.count, found.select("price").collect, found.groupBy("seller_nickname").count().collect, found.collect):
+        with pytest.raises(Exception, match="(?i)malformed"):
+            ask()
