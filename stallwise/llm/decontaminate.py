@@ -300,7 +300,9 @@ def contamination(spark: SparkSession, path: str, matches: DataFrame) -> DataFra
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text", keep: list[str] = ("doc_id",)) -> DataFrame:
-    """Index ``docs``, match the benchmark, and report per document."""
+    """Index ``docs``, match the benchmark, and report per document; ``keep`` must not name columns of the report."""
+    if taken := sorted({"n_words", "n_hit", "n_items", "items_sha256", "contaminated"} & set(keep)):
+        raise ValueError(f"columns are reported under these names: {taken}")
     spark = docs.sparkSession
     path = new_path(spark, "index")
     build_index(docs, path, text, list(keep))
@@ -312,6 +314,9 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10,
 
     What is decided depends on the text alone, so rows are matched by its digest.
     """
-    marked = docs.select(F.col(text).alias("text"), F.md5(F.encode(F.col(text), "UTF-8")).alias("key"))
-    bad = decontaminate(marked, benchmark, width, "text", ["key"]).where("contaminated").select(F.col("key").alias("_bad")).distinct()
-    return docs.join(bad, F.md5(F.encode(docs[text], "UTF-8")) == F.col("_bad"), "left_anti")
+    digest = F.md5(F.encode(F.col("text"), "UTF-8"))
+    names = {c: f"_d{i}" for i, c in enumerate(docs.columns)}
+    table = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], F.col(f"`{text}`").alias("text")).withColumn("key", digest)
+    marked = table.select("text", "key")
+    bad = decontaminate(marked, benchmark, width, "text", ["key"]).where("contaminated").select("key").distinct()
+    return table.join(bad, "key", "left_anti").select(*[F.col(n).alias(c) for c, n in names.items()])

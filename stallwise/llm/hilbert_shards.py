@@ -127,16 +127,21 @@ def write_shards(docs: DataFrame, path: str, dims: Sequence[str], shards: int =
     """Write whole documents along the curve: folders ``shard=``, files that are runs of the curve.
 
     The quantised columns ``q_<dim>`` are written too; ``cell_filter`` uses their
-    statistics to skip files.
+    statistics to skip files. Documents that have a column ``shard`` or ``q_<dim>`` are
+    an error; all other columns stay as they are, whatever their names.
     """
     cells = {f"q_{d}": quantised(docs, d, bits) for d in dims}
-    order = ranked(with_curve(docs.withColumns(cells), list(cells), bits, "_curve"), ["_curve", id], "_rank")
+    if taken := sorted({"shard", *cells} & set(docs.columns)):
+        raise ValueError(f"columns are written under these names: {taken}")
+    names = {c: f"_d{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], *[c.alias(n) for n, c in cells.items()])
+    order = ranked(with_curve(rows, list(cells), bits, "_curve"), ["_curve", names[id]], "_rank")
     runs = shards * files_per_shard
     out = order.withColumn("_total", order.agg(F.expr("count(1) AS n")).scalar())
     out = out.withColumn("_run", F.expr(f"(_rank * {runs}) div _total")).withColumn("shard", F.expr(f"CAST((_rank * {shards}) div _total AS INT)"))
     (
         out.repartitionByRange(runs, "_run").sortWithinPartitions("_run", "_rank")
-        .drop("_curve", "_rank", "_total", "_run").write.partitionBy("shard").parquet(path)
+        .select(*[F.col(n).alias(c) for c, n in names.items()], *cells, "shard").write.partitionBy("shard").parquet(path)
     )
 
 

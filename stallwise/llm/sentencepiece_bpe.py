@@ -236,14 +236,17 @@ def _coded(batches: Iterator[pa.RecordBatch], file: str) -> Iterator[pa.RecordBa
             done += len(ids)
 
 
-def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and digests of encoded documents."""
+def _digested(batches: Iterator[pa.RecordBatch], keep_ids: bool) -> Iterator[pa.RecordBatch]:
+    """Counts and digests of encoded documents, and their ids if asked for."""
     for batch in batches:
         offsets, values = batch["ids"].offsets.to_numpy(), batch["ids"].values.to_numpy()
         ids = [hashlib.sha256(np.ascontiguousarray(values[a:b], "<i4")).hexdigest() for a, b in zip(offsets, offsets[1:])]
         texts = [hashlib.sha256(t.as_buffer()).hexdigest() for t in batch["decoded"]]
         columns = [batch["id"], pa.array(np.diff(offsets).astype(np.int64)), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        names = ["id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if keep_ids:
+            columns, names = [*columns, batch["ids"]], [*names, "ids"]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def encoded_documents(docs: DataFrame, file: str, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -253,8 +256,10 @@ def encoded_documents(docs: DataFrame, file: str, id: str = "doc_id", text: str
     return rows.mapInArrow(lambda batches: _coded(batches, file), schema).withColumnRenamed("id", id)
 
 
-def encoded_digests(docs: DataFrame, file: str, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of what ``encoded_documents`` gives, without moving it."""
+def encoded_digests(docs: DataFrame, file: str, id: str = "doc_id", text: str = "text", keep_ids: bool = False) -> DataFrame:
+    """``id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` of what ``encoded_documents`` gives, without moving it;
+    with ``keep_ids`` also ``ids``."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     schema = f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(lambda batches: _digested(_coded(batches, file)), schema).withColumnRenamed("id", id)
+    schema += ", ids array<int>" if keep_ids else ""
+    return rows.mapInArrow(lambda batches: _digested(_coded(batches, file), keep_ids), schema).withColumnRenamed("id", id)

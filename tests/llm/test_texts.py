@@ -8,8 +8,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from checks.compare import compare, duckdb_views
@@ -312,8 +314,36 @@ def test_pipeline(spark):
             items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
             rows = plain_contamination([(r.doc_id, r.text) for r in before.collect()], items, 10)
             assert mine == {r[0] for r in rows if not r[-1]}
-    final = corpus_pipeline.run(spark, SF)
-    assert {r.doc_id for r in final.collect()} == mine
+    final = corpus_pipeline.run(spark, SF).collect()
+    assert {r.doc_id for r in final} == mine
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in final:
+        assert r.ids == library.encode(texts[r.doc_id], add_bos=True, add_eos=True) and r.n_tokens == len(r.ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(r.ids, "<u4")).hexdigest()
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     stage = corpus_pipeline.remove_toxic(spark, docs, SF).select("doc_id")
     assert labels.where("toxic = 0").join(stage, "doc_id", "left_anti").count() == 0
+
+
+def test_shards_keep_columns_with_clashing_names(spark, tmp_path):
+    names = ["doc_id", "_rank", "_curve", "_total", "_run", "_at", "_part", "_flip", "_x0", "_d0", "_row"]
+    docs = spark.createDataFrame([(i, *[f"{n}{i}" for n in names[1:]], "en", f"text {i}") for i in range(40)], [*names, "lang", "text"])
+    path = f"{tmp_path}/shards"
+    hilbert_shards.write_shards(docs, path, ["lang", "doc_id"], shards=4)
+    stored = spark.read.parquet(path)
+    assert sorted(map(tuple, stored.select(docs.columns).collect())) == sorted(map(tuple, docs.collect()))
+    for taken in ("shard", "q_lang"):
+        with pytest.raises(ValueError):
+            hilbert_shards.write_shards(docs.withColumn(taken, docs["text"]), path, ["lang"])
+
+
+def test_decontamination_with_clashing_names(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, words, "a", "b", "c", "d"), (2, "other words", "e", "f", "g", "h"), (3, None, None, None, None, None)], ["doc_id", "body", "_bad", "key", "text", "n_words"])
+    benchmark = spark.createDataFrame([("x", words)], ["item_id", "text"])
+    kept = decontaminate.without_contaminated(docs, benchmark, text="body")
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect()))[0] == (2, "other words", "e", "f", "g", "h")
+    assert kept.count() == 2
+    with pytest.raises(ValueError):
+        decontaminate.decontaminate(docs, benchmark, text="body", keep=["n_words"])
