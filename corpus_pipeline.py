@@ -31,9 +31,9 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of whole texts, with digests of the ids and of the decoded text."""
+    """Token ids of whole texts, begin and end included, with digests of the ids and of the decoded text."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return sentencepiece_bpe.encoded_digests(docs, model)
+    return sentencepiece_bpe.encoded_digests(docs, model, keep_ids=True)
 
 
 STAGES = [
