@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stallwise import schema as S
 from stallwise.functions.columns import holds
 from stallwise.functions.quantiles import quantile_row, quantiles_by_key
+from stallwise.operators.duplicates import without_duplicates
 from stallwise.sources.staging import stage
 
 
@@ -100,7 +101,7 @@ def clean_listings(df: DataFrame, max_price: float = S.MAX_PRICE) -> DataFrame:
 
 def deduplicate(df: DataFrame) -> DataFrame:
     """Drop exact repeats. Advised by the audit, never applied on its own."""
-    return df.dropDuplicates()
+    return without_duplicates(df)
 
 
 def cleaning_funnel(df: DataFrame, max_price: float = S.MAX_PRICE) -> DataFrame:

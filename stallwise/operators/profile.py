@@ -12,6 +12,7 @@ from stallwise import schema as S
 from stallwise.functions.columns import percent
 from stallwise.functions.counts import distinct_per_key, size_summary, value_counts
 from stallwise.functions.quantiles import column_quantiles, group_quantiles, unpivoted
+from stallwise.operators.duplicates import duplicated_rows
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -24,30 +25,18 @@ def categorical_columns(df: DataFrame, max_columns: int | None = None) -> list[s
     return [f.name for f in df.schema if isinstance(f.dataType, kinds)][:max_columns]
 
 
-def with_copies(df: DataFrame) -> DataFrame:
-    """Distinct rows with their number of copies; copies merge before the shuffle."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-
-
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows and exact duplicates (second and later copies, nulls equal)."""
-    return with_copies(df).agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicated_rows"),
-    )
+    return df.agg(F.expr("count(1) AS rows")).select("rows", duplicated_rows(df).scalar().alias("duplicated_rows"))
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:
     """One row: size, exact duplicates, day range and distinct keys.
 
-    Distinct counts run over the already deduplicated rows, so the wide table
-    is shuffled once.
+    Distinct counts move the different values of their columns, duplicates the
+    rows that may have a copy; whole rows are not shuffled otherwise.
     """
-    facts = [
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.lit(len(df.columns)).cast("bigint").alias("columns"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicated_rows"),
-    ]
+    facts = [F.expr("count(1) AS rows"), F.lit(len(df.columns)).cast("bigint").alias("columns")]
     if S.DAY in df.columns:
         facts += [
             F.min(S.DAY).alias("min_tim_day"),
@@ -62,7 +51,8 @@ def dataset_overview(df: DataFrame) -> DataFrame:
     ):
         if column in df.columns:
             facts.append(F.count_distinct(column).alias(name))
-    return with_copies(df).agg(*facts)
+    found = df.agg(*facts).withColumn("duplicated_rows", duplicated_rows(df).scalar())
+    return found.select("rows", "columns", "duplicated_rows", *found.columns[2:-1])
 
 
 def column_profile(df: DataFrame, samples: int = 5, exact: bool = True) -> DataFrame:
