@@ -411,6 +411,13 @@ for name in ("seller_daily_features", "daily_features_refreshed", "daily_feature
     add(name, f"{ITEMS}, {DAYS}", EVERY_DAY)
 add("daily_features_since", f"{ITEMS}, {DAYS}", f"{EVERY_DAY} WHERE tim_day >= DATE '1998-06-15'")
 
+# A summary of few values holds them all: the median is then the lower one of the middle.
+add(
+    "approx_median_price", ITEMS,
+    f"""SELECT tim_day, seller_nickname, count(*) AS items_count, {rounded("quantile_disc(price, 5e-1)")} AS approx_median_price
+  FROM items GROUP BY 1, 2""",
+)
+
 PER_DAY = """per_day AS (SELECT seller_nickname, tim_day, count(*) AS items, sum(price) AS price_sum, count(price) AS prices,
   coalesce(sum(stock), 0) AS stock FROM items WHERE seller_nickname IS NOT NULL AND tim_day IS NOT NULL GROUP BY 1, 2)"""
 
