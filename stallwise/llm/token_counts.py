@@ -10,7 +10,9 @@ Normalising a text must not change its count: null becomes empty, nothing else.
 
 Scale: a text goes through one shuffle, where copies meet after being reduced to
 one per task; texts the cache holds are dropped before they are encoded. What is
-joined back to the rows is a digest and a number, and skewed digests are split.
+joined back to the rows is a digest and a number. Digests of more than one row in
+``SHARE`` are fewer than ``SHARE``, so their counts are broadcast and their rows stay
+where they are; the others join by a shuffle.
 Repeated entries, as two runs at a time may write, are reduced when read.
 
 Defined results: a null id stays null; repeated rows are each counted; an empty
@@ -30,7 +32,10 @@ from pyspark.sql import functions as F
 from stallwise.llm import word_cache
 from stallwise.llm.tokenizer_pieces import load, piecewise
 from stallwise.llm.word_cache import PieceCache
+from stallwise.sources.staging import stage
 
+# A digest that more than one in so many rows have is not shuffled to.
+SHARE = 1000
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens long"
 _COUNTERS: dict[str, tuple] = {}
 
@@ -77,8 +82,12 @@ def count_tokens(
     misses.mapInArrow(lambda batches: _count(batches, file), "content_digest string, n_tokens long").select(
         "content_digest", F.lit(version).alias("tokenizer_digest"), "n_tokens"
     ).write.mode("append").parquet(cache)
-    return (
-        rows.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "content_digest")
-        .join(held(), "content_digest", "left")
-        .select(F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    marked = stage(rows.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "content_digest"), "digests")
+    total = marked.agg(F.expr("count(1) AS n")).scalar()
+    often = marked.groupBy("content_digest").agg(F.expr("count(1) AS n")).where(F.col("n") * SHARE > total).select("content_digest")
+    # Fewer than SHARE rows, whatever the table.
+    heavy = F.broadcast(held().join(F.broadcast(often), "content_digest"))
+    light = marked.join(heavy, "content_digest", "left_anti").join(held(), "content_digest", "left")
+    return light.unionByName(marked.join(heavy, "content_digest")).select(
+        F.col("id").alias(id), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -101,6 +101,15 @@ def test_token_counts_encode_only_what_is_missing(spark, tmp_path, texts):
     assert token_counts.count_tokens(docs.where("false"), file, cache).count() == 0
 
 
+def test_token_counts_of_a_digest_with_many_rows(spark, tmp_path):
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(file)
+    texts = ["the same text again"] * 1500 + [f"text number {i}" for i in range(2500)] + [f"text number {i}" for i in range(5)]
+    found = token_counts.count_tokens(table(spark, texts).repartition(4), file, str(tmp_path / "counts")).collect()
+    expected = {t: len(library.encode(t, add_special_tokens=False).ids) for t in set(texts)}
+    assert sorted((r.doc_id, r.n_tokens) for r in found) == [(i, expected[t]) for i, t in enumerate(texts)]
+
+
 def test_orc_positions(spark, tmp_path, texts):
     file, path = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "orc")
     library = Tokenizer.from_file(file)
