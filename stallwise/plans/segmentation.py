@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+import json
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
@@ -89,11 +91,27 @@ def write_results(results: dict[str, DataFrame], output_dir: str) -> None:
     sinks.write_metadata(results["run_metadata"], f"{output_dir}/{sinks.METADATA_DIR}")
 
 
+def run_identity(items: DataFrame, options: dict) -> str:
+    """What decides the results of a run: its listings and all its options, defaults included."""
+    bound = inspect.signature(segment_listings).bind(items, **options)
+    bound.apply_defaults()
+    named = {k: v if isinstance(v, (str, int, float)) else list(v) for k, v in bound.arguments.items() if k != "items"}
+    return json.dumps({"items": sinks.dataset_fingerprint(items), **named}, sort_keys=True, default=str)
+
+
 def load_or_run(items: DataFrame, output_dir: str, **options) -> dict[str, DataFrame]:
-    """The saved segments of an earlier run, or else those of a new run, which is saved."""
+    """The saved segments of the same run, or else those of a new run, which replaces what is saved.
+
+    The same run had equal listings, in any order, and equal options. A run that was
+    broken off while writing has no identity and is run again.
+    """
     spark = items.sparkSession
-    saved = sinks.load_outputs(spark, output_dir)
-    if saved is None:
-        write_results(segment_listings(items, **options), output_dir)
+    identity = run_identity(items, options)
+    if sinks.read_identity(spark, output_dir) == identity:
         saved = sinks.load_outputs(spark, output_dir)
-    return saved
+        if saved is not None:
+            return saved
+    sinks.write_identity(spark, output_dir, "")
+    write_results(segment_listings(items, **options), output_dir)
+    sinks.write_identity(spark, output_dir, identity)
+    return sinks.load_outputs(spark, output_dir)

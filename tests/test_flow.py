@@ -1,4 +1,5 @@
 import datetime as dt
+import functools
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,7 +143,7 @@ def test_cluster_moves_are_counted(spark):
     assert rows(daily.cluster_migration(df)) == [(0, 1, 1), (1, 1, 1)]
 
 
-def test_whole_flow_writes_and_reloads(spark, tmp_path):
+def test_whole_flow_writes_and_reloads(spark, tmp_path, monkeypatch):
     from stallwise.sources.order_tables import items
 
     table = items(spark, "/root/testdata/sf0.001")
@@ -155,8 +156,20 @@ def test_whole_flow_writes_and_reloads(spark, tmp_path):
     assert spark.read.parquet(f"{out}/rejected_items").count() == 79
     audit = spark.read.option("header", True).csv(f"{out}/quality_audit")
     assert audit.count() == 12 and spark.read.option("header", True).csv(f"{out}/kmeans_evaluation").count() == 2
-    again = segmentation.load_or_run(table, out)
+    monkeypatch.setattr(segmentation, "segment_listings", functools.wraps(segmentation.segment_listings)(lambda *a, **o: pytest.fail("run anew")))
+    again = segmentation.load_or_run(table.repartition(3), out, k=3, k_values=range(2, 4), n_init=1)
     assert again[sinks.SEGMENTS_DIR].count() == 150
+    monkeypatch.undo()
+    other = segmentation.load_or_run(table, out, k=4, k_values=[2, 3], n_init=1)
+    assert other[sinks.METADATA_DIR].first()["n_clusters"] == 4 and other[sinks.SUMMARY_DIR].count() == 4
+
+
+def test_fingerprints_tell_tables_apart(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "x int, y string")
+    same = df.orderBy(F.desc("x")).repartition(2)
+    others = [df.limit(2), df.unionByName(df), df.dropDuplicates(), df.withColumnRenamed("x", "z"), df.withColumn("y", F.lit("a")), df.select("x", F.lit(None).cast("string").alias("y"))]
+    prints = [sinks.dataset_fingerprint(d) for d in (df, *others)]
+    assert sinks.dataset_fingerprint(same) == prints[0] and len(set(prints)) == len(prints)
 
 
 def test_rejected_rows_are_written_only_if_any(spark, listings, tmp_path):
