@@ -500,6 +500,16 @@ add(
     "kmeans_facts", SELLERS,
     "SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM sellers) AS sellers, k AS clusters, true AS nearest, true AS inertia_holds FROM range(2, 9) r(k)",
 )
+add(
+    "segment_listings", SELLERS,
+    """SELECT result, rows FROM (VALUES ('dataset_overview', 1), ('quality_audit', 12), ('outlier_summary', 3), ('cleaning_funnel', 4),
+    ('feature_checks', 4), ('kmeans_evaluation', 2), ('cluster_metrics', 1), ('cluster_summary', 5), ('cluster_profile', 5),
+    ('silhouette_by_cluster', 5), ('mean_cluster_silhouette', 1), ('segment_names', 5), ('cluster_payload_json', 5),
+    ('run_metadata', 1)) r(result, rows)
+  UNION ALL SELECT 'rejected_items', count(*) FROM items
+    WHERE seller_nickname IS NULL OR url IS NULL OR price <= 0 OR stock < 0
+  UNION ALL SELECT unnest(['seller_features', 'seller_clusters']), count(*) FROM sellers""",
+)
 add("silhouette_sq_samples", SILHOUETTE, SIL)
 add("silhouette_sq", SILHOUETTE, f"SELECT {rounded('avg(sil_sample)')} AS silhouette FROM sil")
 add(

@@ -25,6 +25,7 @@ from stallwise.operators import (
     scaling,
     summary,
 )
+from stallwise.plans import segmentation
 from stallwise.plans.segmentation import seller_table
 from stallwise.sources import listings, sinks
 from stallwise.sources.order_tables import items, items_with_repeats, text_items
@@ -421,6 +422,18 @@ def kmeans_facts(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def segment_listings(spark, sf_dir):
+    """The whole flow: every result by name with its rows, written and read back where it is an artefact."""
+    results = segmentation.segment_listings(items(spark, sf_dir), k_values=[2, 3], n_init=3)
+    out = new_path(spark, "flow")
+    segmentation.write_results(results, out)
+    tables = {name: spark.read.parquet(f"{out}/{name}") for name in ("seller_features", "seller_clusters", "cluster_summary", "rejected_items")}
+    reports = {name: spark.read.option("header", True).csv(f"{out}/{name}") for name in ("quality_audit", "kmeans_evaluation", "cluster_profile", "silhouette_by_cluster")}
+    read = {**results, **tables, **reports, "run_metadata": spark.read.json(f"{out}/{sinks.METADATA_DIR}")}
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(name).alias("result"), F.count(F.lit(1)).alias("rows")) for name, df in read.items()])
+
+
 @query
 def scaler_comparison(spark, sf_dir):
     return clustering.scaler_comparison(sellers(spark, sf_dir))
