@@ -10,15 +10,22 @@ is within 1 of its nearest lattice point, so neighbours up to 2 + r/2 away, in l
 units, are looked at; a ``cell`` so small that this asks for norm 10 or more is an
 error. What meets in a cell is verified by cosine in double precision.
 
+Cells meet twice. First only 8 bytes per vector and cell do: its place in the cell, one
+byte a coordinate. Vectors without another one within r of them, allowing for the
+rounding of both places, or whose midpoints surely lie in other cells, are done there.
+Only the rest meet again whole and are verified.
+
 A pair may meet in several cells. It is counted where it must meet: in its first
 table with blocks within r, in the cell of the midpoint. So links per vector are
 exact sums, and pairs never leave the cell: a cell returns, per vector, its number
 of links and one link of a spanning forest.
 
 Scale: equal vectors are one class with a weight before anything else, so a vector
-copied a million times is stored once. Cells with more than ``block`` classes are cut
-into blocks, compared block against block in separate tasks. Smaller ``cell`` means
-more cells per vector and fewer comparisons; results do not depend on it.
+copied a million times is stored once. Cells with more than about ``block`` classes are
+cut into blocks, compared block against block in separate tasks. How many blocks a cell
+needs is told by a sixteenth of the classes, picked by hash; that moves work between
+tasks and changes no result. Smaller ``cell`` means more cells per vector and fewer
+comparisons; results do not depend on it either.
 
 Defined results: a vector links only within its label and its length; null labels,
 null, empty or zero vectors and vectors with null or non-finite components link with
@@ -44,6 +51,10 @@ from stallwise.sources.staging import stage
 E8 = 8
 # Rows decoded at once.
 CHUNK = 4096
+# Blocks with as many members are compared as a matrix, smaller ones together.
+DENSE = 48
+# One class of so many tells which cells are cut into blocks.
+SAMPLE = 16
 # Longest neighbours looked at; there are 17,520 of norm 8.
 MAX_NORM = 8
 
@@ -129,13 +140,18 @@ class Geometry:
             least = cell * self.reach / (np.sqrt(MAX_NORM + 2) - 2)
             raise ValueError(f"cell {cell} is too small for threshold {threshold}: at least {least:.3f} is needed")
 
-    def memberships(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, table, cell) for each cell within half the radius."""
+        # Longest way from a vector to the middle of a cell it is stored in.
+        self.step = np.sqrt(1 + 2 * self.reach * np.sqrt(self.norms[-1])) / 127
+        # How far a place in a cell may be off by rounding.
+        self.off = np.sqrt(E8) * self.step / 2 + 1e-6
+
+    def memberships(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, table, cell, place in the cell) for each cell within half the radius."""
         blocks = rotated(vectors, self.seed) / self.size
         shells = [shell(n) for n in self.norms]
         # Pieces no longer than the first two shells, so that the products stay small.
         offsets = [np.zeros((1, E8)), *(s[at : at + 2160] for s in shells for at in range(0, len(s), 2160))]
-        rows, tables, cells = [], [], []
+        rows, tables, cells, places = [], [], [], []
         for t in range(self.tables):
             home = decode(blocks[:, t])
             aside = blocks[:, t] - home
@@ -146,7 +162,15 @@ class Geometry:
                 rows.append(row)
                 tables.append(np.full(len(row), t, np.int32))
                 cells.append(cell_number(home[row] + vectors_[other]))
-        return np.concatenate(rows), np.concatenate(tables), np.concatenate(cells)
+                places.append(np.rint((aside[row] - vectors_[other]) / self.step).astype(np.int8).view(np.int64)[:, 0])
+        return np.concatenate(rows), np.concatenate(tables), np.concatenate(cells), np.concatenate(places)
+
+
+def cell_key(label: np.ndarray, dims: int, table: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """One number for a cell of a table, label and length; a collision only makes a cell larger."""
+    mixed = cell.view(np.uint64) ^ (np.asarray(table, np.uint64) << np.uint64(32)) ^ np.uint64(dims)
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * _mixers()[0] + label.view(np.uint64)
+    return ((mixed ^ (mixed >> np.uint64(32))) * _mixers()[1]).view(np.int64)
 
 
 def _vectors(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +178,7 @@ def _vectors(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cells(batches: Iterator[pa.RecordBatch], threshold: float, cell: float, seed: int) -> Iterator[pa.RecordBatch]:
-    """(label, dims, vector) rows to (class, label, dims, table, cell) rows."""
+    """(class, label, vector) rows to (class, dims, table, key, place) rows."""
     for batch in batches:
         number, label = batch["class"].to_numpy(), batch["label"].to_numpy()
         offsets, values = _vectors(batch["vector"])
@@ -164,9 +188,69 @@ def _cells(batches: Iterator[pa.RecordBatch], threshold: float, cell: float, see
             of = np.flatnonzero(lengths == dims)
             for at in range(0, len(of), CHUNK):
                 some = of[at : at + CHUNK]
-                row, table, cells = shape.memberships(values[offsets[some][:, None] + np.arange(dims)])
-                out = [number[some][row], label[some][row], np.full(len(row), dims, np.int32), table, cells]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["class", "label", "dims", "table", "cell"])
+                row, table, cells, place = shape.memberships(values[offsets[some][:, None] + np.arange(dims)])
+                key = cell_key(label[some][row], int(dims), table, cells)
+                out = [number[some][row], np.full(len(row), dims, np.int32), table, key, place]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["class", "dims", "table", "key", "place"])
+
+
+def _survivors(batches: Iterator[pa.RecordBatch], threshold: float, cell: float, seed: int) -> Iterator[pa.RecordBatch]:
+    """Members of blocks of cells that may have a link there, one row each."""
+    for batch in batches:
+        members = batch["members"]
+        sizes = np.diff(members.offsets.to_numpy())
+        flat = members.flatten()
+        place = np.ascontiguousarray(flat.field("place").to_numpy()).view(np.int8).reshape(-1, E8).astype(np.float32)
+        part, dims = flat.field("part").to_numpy(), batch["dims"].to_numpy()
+        crossing = batch["r"].to_numpy() != batch["c"].to_numpy()
+        starts, keep = np.cumsum(sizes) - sizes, np.zeros(len(part), bool)
+        for length in np.unique(dims):
+            shape = Geometry(int(length), threshold, cell, seed)
+            small = (dims == length) & (sizes < DENSE)
+            for a, b in _side_by_side(starts[small], sizes[small]):
+                apart = ((place[a] - place[b]) ** 2).sum(1) * shape.step**2 <= _widest(shape)
+                _mark(keep, place, a[apart], b[apart], shape)
+            for at, size in zip(starts[(dims == length) & ~small], sizes[(dims == length) & ~small]):
+                here = place[at : at + size]
+                square = (here * here).sum(1)
+                # Whole numbers below 2^24: exact.
+                apart = (square[:, None] + square[None, :] - 2 * here @ here.T) * shape.step**2 <= _widest(shape)
+                a, b = np.nonzero(np.triu(apart, 1))
+                _mark(keep, place, at + a, at + b, shape)
+        # Blocks of one part are never parted; of two, both sides have to be there.
+        block = np.repeat(np.arange(len(sizes)), sizes)
+        for side in ("r", "c"):
+            of_side = part == batch[side].to_numpy()[block]
+            some = np.bincount(block[keep & of_side], minlength=len(sizes)) > 0
+            keep &= some[block] | ~crossing[block]
+        if keep.any():
+            row = pa.array(block[keep])
+            columns = [batch[n].take(row) for n in ("key", "dims", "table", "r", "c")]
+            kept = [flat.field(n).filter(pa.array(keep)) for n in ("class", "part")]
+            yield pa.RecordBatch.from_arrays(columns + kept, ["key", "dims", "table", "r", "c", "class", "part"])
+
+
+def _widest(shape: Geometry) -> float:
+    return (shape.radius / shape.size + 2 * shape.off) ** 2
+
+
+def _side_by_side(starts: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of members of the same small block: those one apart, then two apart, and so on."""
+    at = np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    left = np.repeat(starts + sizes, sizes) - at
+    for lag in range(1, DENSE - 1):
+        at, left = at[left > lag], left[left > lag]
+        if not len(at):
+            return
+        yield at, at + lag
+
+
+def _mark(keep: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray, shape: Geometry) -> None:
+    """Keep pairs whose midpoint may be nearest to the middle of this cell."""
+    middle = (place[a] + place[b]).astype(np.float64) * (shape.step / 2)
+    aside = np.sqrt(((middle - decode(middle)) ** 2).sum(1))
+    own = np.sqrt((middle * middle).sum(1)) <= aside + 2 * shape.off
+    keep[a[own]] = keep[b[own]] = True
 
 
 def _links(batches: Iterator[pa.RecordBatch], threshold: float, cell: float, seed: int) -> Iterator[pa.RecordBatch]:
@@ -176,15 +260,15 @@ def _links(batches: Iterator[pa.RecordBatch], threshold: float, cell: float, see
         offsets, flat = members.offsets.to_numpy(), members.values
         number, weight, part = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("class", "weight", "part"))
         at, values = _vectors(flat.field("vector"))
-        keys = {n: batch[n].to_numpy() for n in ("dims", "table", "cell", "r", "c")}
+        keys = {n: batch[n].to_numpy() for n in ("dims", "table", "key", "hash", "r", "c")}
         found = []
         for i in range(batch.num_rows):
             some = np.arange(offsets[i], offsets[i + 1])
-            dims, table, home, r, c = (keys[n][i] for n in ("dims", "table", "cell", "r", "c"))
+            dims, table, home, label, r, c = (keys[n][i] for n in ("dims", "table", "key", "hash", "r", "c"))
             shape = Geometry(int(dims), threshold, cell, seed)
             vectors = values[at[some][:, None] + np.arange(dims)]
             same = (part[some][:, None] == r) & (part[some][None, :] == c) if r != c else np.tri(len(some), k=-1, dtype=bool)
-            a, b = _pairs(vectors, shape, int(table), home, same, threshold)
+            a, b = _pairs(vectors, shape, int(table), label, home, same, threshold)
             if len(a):
                 found.append(_summary(number[some], weight[some], a, b))
         if found:
@@ -192,7 +276,7 @@ def _links(batches: Iterator[pa.RecordBatch], threshold: float, cell: float, see
 
 
 def _pairs(
-    vectors: np.ndarray, shape: Geometry, table: int, home: int, asked: np.ndarray, threshold: float
+    vectors: np.ndarray, shape: Geometry, table: int, label: int, home: int, asked: np.ndarray, threshold: float
 ) -> tuple[np.ndarray, np.ndarray]:
     """Verified pairs among the asked ones that are to be counted in this table and cell."""
     blocks = rotated(vectors, shape.seed)
@@ -205,7 +289,7 @@ def _pairs(
     first &= apart[:, table]
     a, b = a[first], b[first]
     middle = decode((here[a] + here[b]) / 2 / shape.size)
-    own = cell_number(middle) == home
+    own = cell_key(np.full(len(a), label), vectors.shape[1], np.full(len(a), table), cell_number(middle)) == home
     a, b = a[own], b[own]
     x = vectors.astype(np.float64)
     x /= np.abs(x).max(1, keepdims=True)
@@ -255,25 +339,36 @@ def near_duplicates(
         "vectors",
     )
     settings = (threshold, cell, seed)
-    cells = stage(
-        classes.selectExpr("class", "xxhash64(label) AS label", "vector")
-        .mapInArrow(lambda batches: _cells(batches, *settings), "class long, label long, dims int, table int, cell long"),
-        "cells",
+    hashed = classes.selectExpr("class", "xxhash64(label) AS label", "vector")
+
+    def cells_of(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(lambda batches: _cells(batches, *settings), "class long, dims int, table int, key long, place long")
+
+    large = stage(
+        cells_of(hashed.where(f"pmod(xxhash64(class), {SAMPLE}) = 0")).groupBy("key")
+        .agg(F.expr(f"CAST(ceil(count(1) * {SAMPLE} / {block}) AS INT) AS parts")).where("parts > 1"),
+        "large-cells",
+    )
+    meeting = (
+        cells_of(hashed).join(large, "key", "left").withColumn("parts", F.expr("coalesce(parts, 1)"))
+        .withColumn("part", F.expr("CAST(pmod(xxhash64(class, 1), parts) AS INT)"))
+        .select("key", "dims", "table", "class", "place", "part", F.expr("explode(sequence(0, parts - 1)) AS other"))
+        .select("key", "dims", "table", "class", "place", "part", F.expr("least(part, other) AS r"), F.expr("greatest(part, other) AS c"))
+        # Also where the large cells were joined by key: a cell must not stay in one task.
+        .repartition("key", "dims", "table", "r", "c")
+        .groupBy("key", "dims", "table", "r", "c").agg(F.collect_list(F.struct("class", "part", "place")).alias("members"))
+        .where("size(members) > 1")
     )
-    keys = ["label", "dims", "table", "cell"]
-    shared = cells.groupBy(*keys).agg(F.expr("count(1) AS n")).where("n > 1")
-    placed = (
-        cells.join(shared, keys)
-        .withColumns({"part": F.expr(f"pmod(xxhash64(class), CAST(ceil(n / {block}) AS BIGINT))"), "last": F.expr(f"ceil(n / {block}) - 1")})
-        .select(*keys, "class", "part", F.expr("explode(sequence(0L, last)) AS other"))
-        .select(*keys, "class", "part", F.expr("least(part, other) AS r"), F.expr("greatest(part, other) AS c"))
+    close = stage(
+        meeting.mapInArrow(lambda batches: _survivors(batches, *settings), "key long, dims int, table int, r int, c int, class long, part int"),
+        "close",
     )
+    keys = ["label", "dims", "table", "key", "r", "c"]
     blocks = (
-        placed.join(classes.select("class", "weight", "vector"), "class")
-        .groupBy(*keys, "r", "c")
-        .agg(F.collect_list(F.struct("class", "weight", "part", "vector")).alias("members"))
+        close.join(classes.select("class", "label", "weight", "vector"), "class")
+        .groupBy(*keys).agg(F.collect_list(F.struct("class", "weight", "part", "vector")).alias("members"))
         .where("size(members) > 1")
-        .select("dims", "table", "cell", "r", "c", "members")
+        .select("dims", "table", "key", F.expr("xxhash64(label) AS hash"), "r", "c", "members")
     )
     found = stage(blocks.mapInArrow(lambda batches: _links(batches, *settings), "class long, root long, links long"), "found")
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -140,10 +141,53 @@ def test_lattice_of_small_cells_holds_both_of_a_pair(threshold, cell):
     middle = (lattice_dedup.rotated(a, 8) + lattice_dedup.rotated(b, 8))[:, 0] / 2
     asked = lattice_dedup.cell_number(lattice_dedup.decode(middle / shape.size))
     for side in (a, b):
-        rows, _, cells = shape.memberships(side)
+        rows, _, cells, _ = shape.memberships(side)
         assert len(np.unique(rows[cells == asked[rows]])) == len(asked)
 
 
+def test_places_in_cells_and_first_meeting(monkeypatch):
+    """Rounded places lose no pair, and small and dense blocks keep the same members."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(40, 16))
+    vectors = np.repeat(base, 8, axis=0) + rng.normal(size=(320, 16)) * 0.03
+    shape = lattice_dedup.Geometry(16, 0.98, 2.0, 8)
+    row, table, cell, place = shape.memberships(vectors)
+    blocks = lattice_dedup.rotated(vectors, 8)[row, table] / shape.size
+    places = np.ascontiguousarray(place).view(np.int8).reshape(-1, 8) * shape.step
+    # What is left is the lattice point of the cell.
+    point = lattice_dedup.decode(blocks - places)
+    assert np.sqrt(((blocks - places - point) ** 2).sum(1)).max() <= shape.off
+    assert (lattice_dedup.cell_number(point) == cell).all()
+    key = lattice_dedup.cell_key(np.zeros(len(cell), np.int64), 16, table, cell)
+    names, block = np.unique(key, return_inverse=True)
+    members = [[{"class": int(row[i]), "part": 0, "place": int(place[i])} for i in np.flatnonzero(block == n)] for n in range(len(names))]
+    kind = pa.list_(pa.struct([("class", pa.int64()), ("part", pa.int32()), ("place", pa.int64())]))
+    flat = pa.array(np.zeros(len(names), np.int32))
+    of = pa.array([int(table[block == n][0]) for n in range(len(names))], pa.int32())
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(names), pa.array(np.full(len(names), 16, np.int32)), of, flat, flat, pa.array(members, kind)], ["key", "dims", "table", "r", "c", "members"]
+    )
+    found = []
+    for dense in (2, 10_000):
+        monkeypatch.setattr(lattice_dedup, "DENSE", dense)
+        out = next(lattice_dedup._survivors(iter([batch]), 0.98, 2.0, 8))
+        found.append(set(zip(out["key"].to_pylist(), out["class"].to_pylist())))
+    assert found[0] == found[1] and 0 < len(found[0]) < len(row)
+    unit = vectors / np.sqrt((vectors**2).sum(1, keepdims=True))
+    linked = np.argwhere(np.triu(unit @ unit.T >= 0.98, 1))
+    together = {}
+    for k, c in found[0]:
+        together.setdefault(c, set()).add(k)
+    assert len(linked) and all(together.get(a, set()) & together.get(b, set()) for a, b in linked.tolist())
+
+
+def test_equal_vectors_of_other_labels_stay_apart(spark):
+    rows = [(i, [1.0, 0.5, 0.25 * (i % 3)], i % 4) for i in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    plain = {r.vec_id: r for r in lattice_dedup.near_duplicates(table).collect()}
+    assert all(plain[i].component_id % 4 == i % 4 for i in plain)
+
+
 def test_lattice_shells_and_too_small_cells(spark):
     assert [len(lattice_dedup.shell(n)) for n in (2, 4, 6, 8)] == [240, 2160, 6720, 17520]
     assert lattice_dedup.Geometry(64, 0.98, 2.0, 8).norms == [2, 4]
