@@ -58,7 +58,10 @@ def dataset_overview(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, samples: int = 5, exact: bool = True) -> DataFrame:
     """One row per column: type, nulls, distinct values and the smallest distinct values.
 
-    All columns are profiled in one pass in long form. ``exact=False`` estimates
+    All columns are profiled in one pass in long form, numbers and booleans as
+    numbers: only texts, and types without a number, move as texts. Numbers are in
+    numeric order, other values in the order of their texts; 0.0 and -0.0 are one
+    value, and so are all NaN. ``exact=False`` estimates
     the distinct counts in a second, cheap pass and gives no sample values.
     """
     dtypes = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
@@ -80,43 +83,66 @@ def column_profile(df: DataFrame, samples: int = 5, exact: bool = True) -> DataF
         found = sketch.select("_rows", F.inline(F.array(*cells)))
         return found.select("column", F.element_at(dtypes, F.col("column")).alias("dtype"), *_null_and_distinct())
 
-    cells = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            (F.col(f.name) if isinstance(f.dataType, T.NumericType) else F.lit(None)).cast("double").alias("_order"),
-            F.col(f.name).cast("string").alias("_text"),
-        )
-        for f in df.schema
-    ]
+    cells = [F.struct(F.lit(i).alias("_column"), *_typed(f)) for i, f in enumerate(df.schema)]
+    key = ["_whole", "_real", "_text"]
     values = (
         df.select(F.inline(F.array(*cells)))
-        .groupBy("column", "_order", "_text")
+        .groupBy("_column", *key)
         .agg(F.count(F.lit(1)).alias("_records"))
+        .withColumn("_null", F.expr("_whole IS NULL AND _real IS NULL AND _text IS NULL"))
     )
-    totals = values.groupBy("column").agg(
+    totals = values.groupBy("_column").agg(
         F.sum("_records").alias("_rows"),
-        F.sum(F.when(F.col("_text").isNull(), F.col("_records")).otherwise(0)).alias("_nulls"),
-        F.count("_text").alias("_distinct"),
+        F.sum(F.when(F.col("_null"), F.col("_records")).otherwise(0)).alias("_nulls"),
+        F.count_if(~F.col("_null")).alias("_distinct"),
     )
     # Nulls go last rather than away before, and the counts stay, so that both
-    # branches share one scan and shuffle.
-    in_order = Window.partitionBy("column").orderBy(F.col("_text").isNull(), "_order", "_text")
+    # branches share one scan and shuffle. Each task passes on ``samples`` values a column.
+    in_order = Window.partitionBy("_column").orderBy("_null", *key)
     smallest = (
         values.withColumn("_rank", F.row_number().over(in_order))
-        .where((F.col("_rank") <= samples) & F.col("_text").isNotNull())
-        .groupBy(F.col("column").alias("_column"))
-        .agg(F.array_sort(F.collect_list(F.struct("_rank", "_text", "_records"))).alias("_samples"))
+        .where((F.col("_rank") <= samples) & ~F.col("_null"))
+        .groupBy(F.col("_column").alias("_of"))
+        .agg(F.array_sort(F.collect_list(F.struct("_rank", _shown(df.schema).alias("_shown")))).alias("_samples"))
     )
-    joined = totals.join(F.broadcast(smallest), F.col("column") == F.col("_column"), "left")
-    texts = F.transform("_samples", lambda s: s["_text"])
+    joined = totals.join(F.broadcast(smallest), F.col("_column") == F.col("_of"), "left")
+    names = F.array(*[F.lit(c) for c in df.columns])
+    kinds = F.array(*[F.lit(f.dataType.simpleString()) for f in df.schema])
     return joined.select(
-        "column",
-        F.element_at(dtypes, F.col("column")).alias("dtype"),
+        F.get(names, F.col("_column")).alias("column"),
+        F.get(kinds, F.col("_column")).alias("dtype"),
         *_null_and_distinct(),
-        F.coalesce(texts, F.array().cast("array<string>")).alias("sample_values"),
+        F.coalesce(F.transform("_samples", lambda s: s["_shown"]), F.array().cast("array<string>")).alias("sample_values"),
     )
 
 
+_WHOLE = (T.IntegralType, T.BooleanType)
+_REAL = (T.FractionalType,)
+
+
+def _typed(field: T.StructField) -> list[Column]:
+    """A cell as a whole number, a double or a text; decimals are ordered as doubles and told apart as texts."""
+    value, kind = F.col(f"`{field.name}`"), field.dataType
+    whole, real = isinstance(kind, _WHOLE), isinstance(kind, _REAL)
+    text = not whole and (not real or isinstance(kind, T.DecimalType))
+    return [
+        (value if whole else F.lit(None)).cast("long").alias("_whole"),
+        (value if real else F.lit(None)).cast("double").alias("_real"),
+        (value if text else F.lit(None)).cast("string").alias("_text"),
+    ]
+
+
+def _shown(columns: T.StructType) -> Column:
+    """The text of a typed cell, as its column's type is written."""
+    shown = F.col("_text")
+    for i, f in enumerate(columns):
+        if isinstance(f.dataType, _WHOLE):
+            shown = F.when(F.col("_column") == i, F.col("_whole").cast(f.dataType).cast("string")).otherwise(shown)
+        elif isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            shown = F.when(F.col("_column") == i, F.col("_real").cast(f.dataType).cast("string")).otherwise(shown)
+    return shown
+
+
 def _null_and_distinct() -> list[Column]:
     return [
         F.col("_nulls").alias("null_count"),

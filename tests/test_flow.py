@@ -1,5 +1,6 @@
 import datetime as dt
 import functools
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -183,3 +184,40 @@ def test_item_features(listings):
     assert first["has_discount"] and first["discount_pct"] == pytest.approx(0.2) and first["is_ds"] and not first["is_xd"]
     assert second["has_regular_price"] and not second["has_discount"] and second["discount_pct"] is None
     assert set(S.REPUTATION_SCORES.values()) == set(range(1, 10))
+
+
+def test_column_profile_of_all_kinds(spark):
+    """Numbers keep their order and their text, whatever their type; equal numbers are one value."""
+    rows = [
+        (2**53 + 1, 0.1, 0.0, Decimal("10.50"), True, "b", D(2024, 2, 1), None),
+        (2**53, 1e10, -0.0, Decimal("9.25"), None, "", D(2023, 12, 31), None),
+        (-5, float("nan"), float("nan"), Decimal("9.25"), False, "b", None, None),
+        (None, None, float("inf"), None, False, None, D(2024, 2, 1), None),
+    ]
+    table = spark.createDataFrame(
+        rows, "`a.b` long, f float, d double, m decimal(10,2), t boolean, s string, y date, nothing array<int>"
+    )
+    found = {r["column"]: r for r in profile.column_profile(table).collect()}
+    assert {c: r["sample_values"] for c, r in found.items()} == {
+        "a.b": ["-5", "9007199254740992", "9007199254740993"],
+        "f": ["0.1", "1.0E10", "NaN"],
+        "d": ["0.0", "Infinity", "NaN"],
+        "m": ["9.25", "10.50"],
+        "t": ["false", "true"],
+        "s": ["", "b"],
+        "y": ["2023-12-31", "2024-02-01"],
+        "nothing": [],
+    }
+    assert {c: (r["null_count"], r["unique_count"]) for c, r in found.items()} == {
+        "a.b": (1, 3), "f": (1, 3), "d": (0, 3), "m": (1, 2), "t": (1, 2), "s": (1, 2), "y": (1, 2), "nothing": (4, 0),
+    }
+    assert [r["sample_values"] for r in profile.column_profile(table.select("f"), samples=1).collect()] == [["0.1"]]
+    assert profile.column_profile(table.where("false")).count() == 0
+
+
+def test_column_profile_moves_numbers_as_numbers(spark):
+    """No number is written as text before values are shuffled, and tasks pass on few values each."""
+    table = spark.range(10).selectExpr("id", "CAST(id AS DOUBLE) AS x")
+    plan = profile.column_profile(table)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("hashpartitioning(_column"):]
+    assert "WindowGroupLimit" in plan and "as string" not in below
