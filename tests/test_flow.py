@@ -113,6 +113,39 @@ def test_refresh_is_idempotent_and_drops_vanished_days(spark, listings, tmp_path
     assert rows(daily_job.read_daily_features(spark, path)) == rows(daily.seller_daily_features(shorter))
 
 
+def test_readers_see_a_run_whole_or_not_at_all(spark, listings, tmp_path, monkeypatch):
+    path = str(tmp_path / "daily")
+    first = days(listings, (1, "a", 2.0), (2, "a", 4.0), (3, "b", 6.0))
+    daily_job.refresh_daily_features(first, path)
+    before = rows(daily_job.read_daily_features(spark, path))
+    reader = daily_job.read_daily_features(spark, path)
+    later = days(listings, (2, "a", 5.0), (4, "c", 1.0))
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as failing:
+        # All data of the run is written, nothing is published.
+        failing.setattr(daily_job, "_publish", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            daily_job.refresh_daily_features(later, path, "2024-08-02")
+    assert rows(daily_job.read_daily_features(spark, path)) == before
+    daily_job.refresh_daily_features(later, path, "2024-08-02")
+    now = rows(daily.seller_daily_features(first.where("tim_day = DATE '2024-08-01'").unionByName(later)))
+    assert rows(daily_job.read_daily_features(spark, path)) == now
+    # A reader that started before, and the version it read, are as they were.
+    assert rows(reader) == before and rows(daily_job.read_daily_features(spark, path, version=1)) == before
+    daily_job.remove_versions(spark, path)
+    assert rows(daily_job.read_daily_features(spark, path)) == now
+    with pytest.raises(ValueError, match="by day"):
+        daily_job.refresh_daily_features(first, path, unit="month")
+    with pytest.raises(ValueError, match="no version"):
+        daily_job.read_daily_features(spark, path, version=9)
+    daily_job.refresh_daily_features(first.where("false"), path)
+    assert rows(daily_job.read_daily_features(spark, path)) == []
+    assert rows(daily_job.read_daily_features(spark, str(tmp_path / "none"))) == []
+
+
 def test_stream_recomputes_days_with_late_rows(spark, listings, tmp_path):
     raw_path, path, progress = (str(tmp_path / n) for n in ("raw", "daily", "progress"))
     first, late = days(listings, (1, "a", 2.0), (2, "a", 4.0)), days(listings, (1, "a", 10.0), (1, "b", 1.0))
