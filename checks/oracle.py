@@ -451,6 +451,21 @@ add(
     FROM items WHERE seller_nickname IS NOT NULL AND tim_day IS NOT NULL GROUP BY 1, 2))
   WHERE previous_cluster IS NOT NULL GROUP BY 1, 2""",
 )
+add(
+    "clusters_carried_over", f"""{ITEMS}, old AS (SELECT seller_nickname, least(count(*) // 20, 3) AS cluster FROM items
+    WHERE seller_nickname IS NOT NULL AND tim_day < DATE '1998-06-15' GROUP BY 1),
+  new AS (SELECT seller_nickname, 3 - least(count(*) // 20, 3) AS cluster FROM items
+    WHERE seller_nickname IS NOT NULL GROUP BY 1),
+  shared AS (SELECT old.cluster AS previous, new.cluster, count(*) AS n FROM old JOIN new USING (seller_nickname) GROUP BY 1, 2),
+  best AS (SELECT *, row_number() OVER (PARTITION BY previous ORDER BY n DESC, cluster) AS forth,
+    row_number() OVER (PARTITION BY cluster ORDER BY n DESC, previous) AS back FROM shared),
+  known AS (SELECT cluster, previous FROM (SELECT DISTINCT cluster FROM new) LEFT JOIN
+    (SELECT cluster, previous FROM best WHERE forth = 1 AND back = 1) USING (cluster)),
+  numbers AS (SELECT cluster, coalesce(previous, (SELECT coalesce(max(cluster), -1) FROM old)
+    + row_number() OVER (PARTITION BY previous IS NULL ORDER BY cluster)) AS number FROM known)""",
+    """SELECT old.cluster AS previous_cluster, number AS cluster, count(*) AS moves
+  FROM old JOIN new USING (seller_nickname) JOIN numbers ON numbers.cluster = new.cluster GROUP BY 1, 2""",
+)
 
 # --- Scaling ------------------------------------------------------------------------------------
 

@@ -591,3 +591,19 @@ def cluster_migration(spark, sf_dir):
     n = F.col("items_count")
     band = F.when(n == 1, 0).when(n == 2, 1).otherwise(2).cast("int")
     return daily.cluster_migration(months.select(S.SELLER, "month", band.alias("cluster")))
+
+
+@query
+def clusters_carried_over(spark, sf_dir):
+    """Two snapshots, clustered by numbers of listings and numbered the other way round; moves once numbers are carried on."""
+    listings = items(spark, sf_dir).where(F.col(S.SELLER).isNotNull())
+    band = F.least(F.floor(F.col("n") / 20), F.lit(3))
+
+    def snapshot(rows, cluster):
+        return rows.groupBy(S.SELLER).agg(F.count(F.lit(1)).alias("n")).select(S.SELLER, cluster.cast("long").alias("cluster"))
+
+    before = stage(snapshot(listings.where(F.col(S.DAY) < F.to_date(F.lit(DAILY_FROM))), band), "before")
+    after = stage(snapshot(listings, 3 - band), "after")
+    carried = daily.carry_clusters(before, after)
+    both = before.withColumn("month", F.lit(1)).unionByName(carried.withColumn("month", F.lit(2)))
+    return daily.cluster_migration(both)

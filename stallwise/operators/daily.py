@@ -106,3 +106,35 @@ def cluster_migration(assignments: DataFrame, period: str = "month") -> DataFram
         .groupBy("previous_cluster", "cluster")
         .agg(F.count(F.lit(1)).alias("moves"))
     )
+
+
+def carried_numbers(before: DataFrame, after: DataFrame, key: str = S.SELLER) -> DataFrame:
+    """``cluster`` of ``after``, the number it goes on under, and how many keys it shares with that cluster of ``before``.
+
+    A cluster goes on as the one of ``before`` with which it shares most keys, if that
+    one shares most with it too; ties go to the smallest number. Other clusters are new:
+    they get the numbers after the largest of ``before``, in their order, and share null.
+    Both tables have ``key`` and a whole-numbered ``cluster``; rows without either do not count.
+    """
+    last = before.agg(F.coalesce(F.max("cluster"), F.lit(-1)).alias("last")).scalar()
+    shared = (
+        before.select(key, F.col("cluster").alias("previous")).where(F.col("previous").isNotNull())
+        .join(after.select(key, "cluster").where(F.col("cluster").isNotNull()), key)
+        .groupBy("previous", "cluster").agg(F.count(F.lit(1)).alias("shared"))
+    )
+    # One row per pair of clusters from here on.
+    forth = F.row_number().over(Window.partitionBy("previous").orderBy(F.desc("shared"), "cluster"))
+    back = F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("shared"), "previous"))
+    mutual = shared.withColumn("_forth", forth).withColumn("_back", back).where("_forth = 1 AND _back = 1")
+    known = after.select("cluster").where(F.col("cluster").isNotNull()).distinct()
+    found = known.join(F.broadcast(mutual.select("cluster", "previous", "shared")), "cluster", "left")
+    place = F.row_number().over(Window.partitionBy(F.col("previous").isNull()).orderBy("cluster"))
+    return found.select("cluster", F.coalesce("previous", last + place).cast("long").alias("number"), "shared")
+
+
+def carry_clusters(before: DataFrame, after: DataFrame, key: str = S.SELLER) -> DataFrame:
+    """``after`` with its clusters numbered as in ``before``, so that a move between snapshots is no renumbering."""
+    numbers = carried_numbers(before, after, key).select(F.col("cluster").alias("_cluster"), F.col("number").alias("_number"))
+    # One row per cluster.
+    joined = after.join(F.broadcast(numbers), F.col("cluster") == F.col("_cluster"), "left")
+    return joined.withColumn("cluster", F.col("_number")).drop("_cluster", "_number")

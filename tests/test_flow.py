@@ -177,6 +177,20 @@ def test_cluster_moves_are_counted(spark):
     assert rows(daily.cluster_migration(df)) == [(0, 1, 1), (1, 1, 1)]
 
 
+def test_clusters_go_on_under_their_numbers(spark):
+    members = {0: "abcdef", 1: "ghij", 2: "klm"}
+    before = spark.createDataFrame([(s, c) for c, names in members.items() for s in names] + [("z", None), (None, 1)], "seller_nickname string, cluster int")
+    renumbered = before.selectExpr("seller_nickname", "2 - cluster AS cluster", "'x' AS previous")
+    carried = daily.carry_clusters(before, renumbered)
+    assert carried.columns == ["seller_nickname", "cluster", "previous"]
+    assert {tuple(r) for r in carried.select("seller_nickname", "cluster").collect()} == {tuple(r) for r in before.collect()}
+    # Of halves the smaller number goes on; a cluster of strangers is new, as is one whose best goes elsewhere.
+    after = spark.createDataFrame([(s, 5) for s in "abcg"] + [(s, 3) for s in "def"] + [("k", 7), ("q", 9), ("r", 9)], "seller_nickname string, cluster int")
+    assert rows(daily.carried_numbers(before, after).na.fill(0)) == [(3, 0, 3), (5, 3, 0), (7, 2, 1), (9, 4, 0)]
+    assert rows(daily.carried_numbers(before.where("false"), after).select("cluster", "number")) == [(3, 0), (5, 1), (7, 2), (9, 3)]
+    assert daily.carry_clusters(before, after.where("false")).count() == 0
+
+
 def test_whole_flow_writes_and_reloads(spark, tmp_path, monkeypatch):
     from stallwise.sources.order_tables import items
 
