@@ -614,6 +614,28 @@ add(
 )
 SEGMENT_ROWS = ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")" for row in SEGMENTS)
 SEGMENT_TABLE = f"segments(c, segment_name, priority, churn_risk, recommended_action) AS (VALUES {SEGMENT_ROWS})"
+
+
+def payload_mean(feature: str, name: str, digits: int) -> str:
+    return f"{name} := " + (f"round(avg({feature}), {digits})" if feature in S.MODEL_FEATURES else "CAST(0 AS DOUBLE)")
+
+
+PAYLOAD = ", ".join(
+    [
+        "cluster_id := cluster", "hint := coalesce(any_value(segment_name), '')", "sellers := count(DISTINCT seller_nickname)",
+        "share_pct := round(count(DISTINCT seller_nickname) * 100e0 / (SELECT count(DISTINCT seller_nickname) FROM labelled), 2)",
+        payload_mean("log_median_price", "avg_log_median_price", 3),
+        payload_mean("pct_fbm", "avg_pct_fbm", 3),
+        payload_mean("pct_ds", "avg_pct_ds", 3),
+        payload_mean("seller_reputation_score", "avg_reputation", 2),
+        payload_mean("pct_items_with_discount", "avg_pct_discount", 3),
+    ]
+)
+add(
+    "cluster_payload_json", f"{LABELLED}, {SEGMENT_TABLE}",
+    f"""SELECT cluster, CAST(to_json(struct_pack({PAYLOAD})) AS VARCHAR) AS payload
+  FROM labelled LEFT JOIN segments ON c = cluster GROUP BY cluster""",
+)
 add(
     "segment_names", f"{LABELLED}, {SEGMENT_TABLE}",
     """SELECT cluster, count(*) AS sellers, segment_name, priority, churn_risk, recommended_action,
