@@ -28,11 +28,11 @@ def seller_daily_features(df: DataFrame, from_day: str | None = None) -> DataFra
         [
             F.count(F.lit(1)).alias("items_count"),
             F.avg(S.PRICE).alias("avg_price"),
-            F.count_distinct(S.CATEGORY_ID).alias("categories_count"),
             *[share(on_channel(c.upper())).alias(f"pct_{c}") for c in ("fbm", "xd", "ds", "flex")],
             F.coalesce(F.avg(discount_pct()), F.lit(0.0)).alias("avg_discount_pct"),
         ],
         {"median_price": (S.PRICE, 0.5)},
+        {"categories_count": S.CATEGORY_ID},
     ).select(*DAILY_COLUMNS)
 
 
