@@ -132,6 +132,7 @@ def write_archives(
             F.sha1(F.encode(body, "UTF-8")).alias("digest"), body.alias("html"),
         ),
         "pages",
+        "zstd",
     )
     # Digests that occur more than once, with the response among their pages.
     copies = (

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from checks.compare import compare, duckdb_views
 from stallwise.llm import chat_format, decontaminate, hilbert_shards, queries, toxicity, warc
+from stallwise.sources import staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -163,6 +165,16 @@ def test_warc_of_shuffled_pages(spark, tmp_path):
         assert (r.record_type, r.refers_to) == (("response", None) if page == to else ("revisit", to))
 
 
+def test_warc_stages_pages_as_zstd(spark, tmp_path, monkeypatch):
+    folders = []
+    monkeypatch.setattr(staging, "new_path", lambda spark, name: folders.append(str(tmp_path / name)) or folders[-1])
+    pages = spark.createDataFrame([(1, "u", "<p>one</p>"), (2, "u", None)], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "warc"))
+    files = [f.name for folder in folders for f in Path(folder).glob("*.parquet")]
+    assert files and all(".zstd." in f for f in files)
+    assert {r["page_id"] for r in warc.page_records(spark, str(tmp_path / "warc")).collect()} == {1, 2}
+
+
 def test_warc_revisit_without_response_is_an_error(spark, tmp_path):
     lone = b"".join(warc.records_of(1, 0, "u", "0" * 40, None, (2, 5), 1000)) + warc.END
     (tmp_path / "a.gz").write_bytes(lone)
