@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 from stallwise.llm.word_cache import MARK, PieceCache, framed, token_ids
 
 SPACE = "▁"
-PAIRS_HELD = 100_000
+PAIRS_HELD = 200_000
+# Score of neighbours that are no token.
+NO_PAIR = float("-inf")
 
 
 class SpaceCuts:
@@ -97,16 +99,21 @@ class BpeEncoder:
 
     def merged(self, text: str) -> list[str]:
         """Plain merging: the best-scored neighbouring pair first, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if at < 0:
-                return parts
+        parts, score = list(text), self.scores.get
+        scores = [score(a + b, NO_PAIR) for a, b in zip(parts, parts[1:])]
+        while scores:
+            best = max(scores)
+            if best == NO_PAIR:
+                break
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            # Only the pairs beside the merged one are others now.
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NO_PAIR)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NO_PAIR)
+        return parts
 
     def fits(self, left: str, right: str) -> bool:
         """Whether merging the characters of both tokens keeps the border between them.

@@ -50,6 +50,24 @@ def test_sentencepiece_equals_library(spark, texts):
         assert row.decoded_sha256 == hashlib.sha256(own.decoded.encode()).hexdigest()
 
 
+def test_merging_scores_a_pair_once(monkeypatch):
+    encoder = sentencepiece_bpe.encoder(public_tokenizers.path("piece_bpe_32k.model"))
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+    monkeypatch.setattr(encoder, "scores", Counted(encoder.scores))
+    word = "▁internationalization" * 6
+    parts = encoder.merged(word)
+    assert "".join(parts) == word and 1 < len(parts) < len(word)
+    # Those at the start, and two for each merge.
+    assert Counted.asked <= len(word) - 1 + 2 * (len(word) - len(parts))
+
+
 def test_backtracking_equals_merging():
     one = sentencepiece_bpe.BpeEncoder(public_tokenizers.path("piece_bpe_32k.model"))
     rng = random.Random(9)
