@@ -7,8 +7,9 @@ shards are. The union of the locally frequent phrases comes with what each shard
 above its local support; in shards that do not report a phrase it stands at most one
 time less than their support. Phrases whose upper bound stays below the global
 support leave the union, for certain. The rest are the candidates: every shard counts
-them, and the counts are added up exactly. Before all that, words are counted, so that
-shards look at phrases of frequent words only; both passes prune by Apriori.
+them, and the counts are added up exactly, those of a task before they leave it.
+Before all that, words are counted, so that shards look at phrases of frequent words
+only; both passes prune by Apriori.
 
 Candidates travel to the shards as a bitmap of 64-bit hashes. What gets in by a
 collision is counted like any other phrase: collisions cost rows and change no result.
@@ -17,9 +18,11 @@ Scale: the bitmap has ``filter_bits`` bits, whatever the corpus (4 MB by default
 is the only thing broadcast. With a fixed support and ever more shards the local
 support falls to one; shards then report all phrases of frequent words, and the
 union is a plain count combined per shard. So the support should grow with the corpus
-where it can. Nothing is cut off either way. All shuffles are keyed by word or phrase,
-so a language or phrase that holds a third of all words is shared by all tasks; the
-best phrases of a language are picked in slices before its slices meet.
+where it can. Counting has a task per core, and a candidate leaves a task once, not once
+per shard, until there are more than a task holds (``held``). Nothing is cut off either
+way. All shuffles are keyed by word or phrase, so a language or phrase that holds a third
+of all words is shared by all tasks; the best phrases of a language are picked in slices
+before its slices meet.
 
 Defined results: null and empty texts have no words; a null language is ``none_as``;
 repeated rows count again; ties of scores go by count, then phrase; texts longer than
@@ -51,6 +54,8 @@ FILTER_BITS = 1 << 25
 BUCKET = 1 << 15
 # Rows passed on at once.
 OUT_ROWS = 50_000
+# Counts that a task holds before it passes them on.
+HELD = 1_000_000
 
 # What a byte is to the words: part of one, a gap between two, or the end of a piece.
 GAP, END = 1, 2
@@ -243,10 +248,11 @@ def locally_frequent(texts: DataFrame, words: np.ndarray, total: int, support: i
     return texts.mapInArrow(mined, "hash long, above long").groupBy("hash").agg(F.sum("above").alias("above"))
 
 
-def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, shard_bytes: int) -> DataFrame:
+def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, shard_bytes: int, held: int = HELD) -> DataFrame:
     """``lang``, ``phrase``, ``k``, ``f`` of the phrases of the union with at least ``support`` occurrences,
     and of each language all its words as the phrase of no words."""
-    shared = texts.sparkSession.sparkContext.broadcast(union)
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast(union)
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, shard_bytes):
@@ -259,12 +265,34 @@ def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, sha
                     yield _rows(langs.take(pa.array(lang[cut])), shard.phrases(first[cut], k), k, n[cut])
 
     return (
-        # Shards are counted already: nothing is left to combine before the shuffle.
-        texts.mapInArrow(counts, "lang string, phrase string, k int, f long").repartition("lang", "phrase")
+        # Tasks have added up their shards already: nothing is left to combine before the shuffle.
+        texts.coalesce(context.defaultParallelism).mapInArrow(lambda batches: added(counts(batches), held), "lang string, phrase string, k int, f long")
+        .repartition("lang", "phrase")
         .groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where((F.col("f") >= support) | (F.col("k") == 0))
     )
 
 
+def added(counts: Iterator[pa.RecordBatch], held: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the same phrase added up. What is held is passed on where that leaves more than half of ``held`` rows."""
+    parts, rows = [], 0
+
+    def summed() -> pa.Table:
+        sums = pa.Table.from_batches(parts).group_by(["lang", "phrase", "k"], use_threads=False).aggregate([("f", "sum")])
+        return sums.rename_columns([c.removesuffix("_sum") for c in sums.column_names]).select(["lang", "phrase", "k", "f"])
+
+    for part in counts:
+        parts.append(part)
+        rows += len(part)
+        if rows >= held:
+            table = summed()
+            if len(table) > held // 2:
+                yield from table.to_batches(OUT_ROWS)
+                table = table.slice(0, 0)
+            parts, rows = table.to_batches(), len(table)
+    if parts:
+        yield from summed().to_batches(OUT_ROWS)
+
+
 def _rows(langs: pa.Array, phrases: pa.Array, k: int, f: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [langs, phrases, pa.array(np.full(len(f), k, np.int32)), pa.array(f.astype(np.int64))], ["lang", "phrase", "k", "f"]
@@ -287,7 +315,8 @@ def frequent_phrases(
     found = stage(locally_frequent(texts, words, max(total, 1), support, longest, shard_bytes), "locally-frequent")
     hidden = found.where("hash IS NULL").agg(F.coalesce(F.sum("above"), F.lit(0))).first()[0]
     phrases = bitmap(found.where("hash IS NOT NULL").where(F.col("above") + hidden >= support).select("hash"), filter_bits)
-    return stage(counted(texts, words | phrases, support, longest, shard_bytes), "phrases")
+    # Smaller shards leave room for the counts that a task holds.
+    return stage(counted(texts, words | phrases, support, longest, max(1, shard_bytes // 2)), "phrases")
 
 
 def collocations(

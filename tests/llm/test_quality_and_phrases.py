@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -181,6 +182,20 @@ def test_collocations_against_brute_force(spark, support, top, shard, percent):
     assert {(r.lang, r["rank"]): (r.phrase, r.a, r.l, r.r, r.n, r.score) for r in found} == plain_collocations(rows, support, top, percent)
 
 
+@pytest.mark.parametrize("held, most", [(10_000, 8), (5, 400), (9, 400)])
+def test_a_task_adds_its_counts_before_they_leave_it(held, most):
+    rows = [(lang, phrase, k, 1 + i) for i in range(50) for lang in ("en", "und") for phrase, k in (("", 0), ("a", 1), ("a b", 2), ("x\x00y", 1))]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("lang", "phrase", "k", "f"), r)) for r in rows[at : at + 3]]) for at in range(0, len(rows), 3)]
+    out = [tuple(r.values()) for batch in collocations.added(iter(batches), held) for r in batch.to_pylist()]
+    sums, expected = Counter(), Counter()
+    for lang, phrase, k, f in out:
+        sums[lang, phrase, k] += f
+    for lang, phrase, k, f in rows:
+        expected[lang, phrase, k] += f
+    assert sums == expected and len(out) <= most
+    assert list(collocations.added(iter([]), held)) == []
+
+
 def test_collocations_with_full_bitmap(spark):
     rows = phrase_rows()
     docs = spark.createDataFrame(rows, "lang string, text string")
