@@ -3,9 +3,12 @@
 Texts are cut into shards of bounded size. Each shard is mined completely, level by
 level, at a local support of the global one times the shard's share of all bytes: a
 phrase that is frequent overall is frequent in one shard at least, whatever the
-shards are. The union of the locally frequent phrases comes with what each shard found
-above its local support; in shards that do not report a phrase it stands at most one
-time less than their support. Phrases whose upper bound stays below the global
+shards are. The shards of a task report together, as a unit: what a shard found counts
+as found, and a phrase that it did not find stands in it at most one time less than its
+support. Phrases whose bound stays below the unit's own local support are not reported.
+The union of the reported phrases comes with what each unit found above its support; in
+units that do not report a phrase it stands at most one time less than their support.
+Phrases whose upper bound stays below the global
 support leave the union, for certain. The rest are the candidates: every shard counts
 them, and the counts are added up exactly, those of a task before they leave it.
 Before all that, words are counted, so that shards look at phrases of frequent words
@@ -18,7 +21,7 @@ Scale: the bitmap has ``filter_bits`` bits, whatever the corpus (4 MB by default
 is the only thing broadcast. With a fixed support and ever more shards the local
 support falls to one; shards then report all phrases of frequent words, and the
 union is a plain count combined per shard. So the support should grow with the corpus
-where it can. Counting has a task per core, and a candidate leaves a task once, not once
+where it can. Both passes have a task per core, and a phrase leaves a task once, not once
 per shard, until there are more than a task holds (``held``). Nothing is cut off either
 way. All shuffles are keyed by word or phrase, so a language or phrase that holds a third
 of all words is shared by all tasks; the best phrases of a language are picked in slices
@@ -54,8 +57,8 @@ FILTER_BITS = 1 << 25
 BUCKET = 1 << 15
 # Rows passed on at once.
 OUT_ROWS = 50_000
-# Counts that a task holds before it passes them on.
-HELD = 1_000_000
+# Counts, and hashes of phrases, that a task holds before it passes them on.
+HELD, HELD_HASHES = 1_000_000, 2_000_000
 
 # What a byte is to the words: part of one, a gap between two, or the end of a piece.
 GAP, END = 1, 2
@@ -228,24 +231,69 @@ def frequent_words(texts: DataFrame, support: int, shard_bytes: int) -> DataFram
     return texts.mapInArrow(words, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("hash")
 
 
-def locally_frequent(texts: DataFrame, words: np.ndarray, total: int, support: int, longest: int, shard_bytes: int) -> DataFrame:
-    """``hash``, ``above``: per phrase of two words or more how far its counts exceed what shards may hide of it.
+def locally_frequent(
+    texts: DataFrame, words: np.ndarray, total: int, support: int, longest: int, shard_bytes: int, held: int = HELD_HASHES
+) -> DataFrame:
+    """``hash``, ``above``: per phrase of two words or more how far its counts, or bounds of them, exceed what units may hide of it.
 
-    Only shards where a phrase is locally frequent add to ``above``. The null hash has the occurrences that all shards may hide.
+    A unit is what a task mines before it holds too many phrases. Only units where a phrase may be locally frequent
+    add to ``above``. The null hash has the occurrences that all units may hide.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(words)
+    context = texts.sparkSession.sparkContext
+    shared = context.broadcast(words)
 
     def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit = Unit(support, total)
         for shard in shards(batches, shard_bytes):
-            # Smallest count that reaches support * size / total; phrases below it are not reported.
-            needed = -(-support * shard.size // total)
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([needed - 1])], ["hash", "above"])
+            needed = unit.needed(shard.size)
             levels = shard.frequent(longest, lambda hashes, counts: counts >= needed, lambda hashes: listed(shared.value, hashes))
-            for k, hashes, n, _, _ in levels:
-                if k > 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n - (needed - 1))], ["hash", "above"])
+            unit.add(shard.size, [(hashes, n - (needed - 1)) for k, hashes, n, _, _ in levels if k > 1])
+            if len(unit.hashes) > held:
+                yield from unit.reported()
+                unit = Unit(support, total)
+        if unit.size:
+            yield from unit.reported()
+
+    found = texts.coalesce(context.defaultParallelism).mapInArrow(mined, "hash long, above long")
+    return found.groupBy("hash").agg(F.sum("above").alias("above"))
+
+
+class Unit:
+    """Shards of a task, mined one by one, that report together.
+
+    What its shards found above their local support, and what they may hide, bounds a phrase's count in the unit.
+    Where the bound stays below the unit's own local support, the phrase is not reported.
+    """
 
-    return texts.mapInArrow(mined, "hash long, above long").groupBy("hash").agg(F.sum("above").alias("above"))
+    def __init__(self, support: int, total: int):
+        self.support, self.total, self.size, self.hidden = support, total, 0, 0
+        self.hashes, self.above = np.empty(0, np.uint64), np.empty(0, np.int64)
+
+    def needed(self, size: int) -> int:
+        """Smallest count that reaches support * size / total; phrases below it are not reported."""
+        return -(-self.support * size // self.total)
+
+    def add(self, size: int, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """A shard of ``size`` bytes with its hashes and counts above what it may hide."""
+        self.size += size
+        self.hidden += self.needed(size) - 1
+        parts = [(self.hashes, self.above), *found]
+        at, self.hashes = pd.factorize(np.concatenate([h for h, _ in parts]))
+        sums = np.zeros(len(self.hashes), np.int64)
+        np.add.at(sums, at, np.concatenate([n for _, n in parts]).astype(np.int64))
+        self.above = sums
+
+    def reported(self) -> Iterator[pa.RecordBatch]:
+        """``hash``, ``above``, and by the null hash what the unit may hide."""
+        hides = self.needed(self.size) - 1
+        above = self.above + (self.hidden - hides)
+        good = above > 0
+        yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([hides])], ["hash", "above"])
+        for at in range(0, len(above), HELD_HASHES):
+            cut = slice(at, at + HELD_HASHES)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(self.hashes[cut][good[cut]].view(np.int64)), pa.array(above[cut][good[cut]])], ["hash", "above"]
+            )
 
 
 def counted(texts: DataFrame, union: np.ndarray, support: int, longest: int, shard_bytes: int, held: int = HELD) -> DataFrame:

@@ -7,6 +7,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
@@ -182,6 +183,45 @@ def test_collocations_against_brute_force(spark, support, top, shard, percent):
     assert {(r.lang, r["rank"]): (r.phrase, r.a, r.l, r.r, r.n, r.score) for r in found} == plain_collocations(rows, support, top, percent)
 
 
+def test_a_unit_reports_what_may_be_frequent_in_it():
+    """Ten shards of a tenth of a unit that is half of everything: 50 of 100 occurrences are needed in it, 5 in a shard."""
+    rng, unit = random.Random(3), collocations.Unit(100, 2000)
+    counts = [{h: rng.choice([0, 1, 3, 4, 5, 6, 9]) if h > 20 else rng.choice([0, 1, 7]) for h in range(1, 60)} for _ in range(10)]
+    for shard in counts:
+        needed = unit.needed(100)
+        found = [(h, n - (needed - 1)) for h, n in shard.items() if n >= needed]
+        unit.add(100, [(np.array([h for h, _ in part], np.uint64), np.array([n for _, n in part], np.int64)) for part in (found[::2], found[1::2])])
+    hidden, *rows = [r for batch in unit.reported() for r in batch.to_pylist()]
+    assert hidden == {"hash": None, "above": 49}
+    above = {r["hash"]: r["above"] for r in rows}
+    assert len(above) == len(rows)
+    for h in counts[0]:
+        bound = sum(max(4, shard[h]) if shard[h] >= 5 else 4 for shard in counts)
+        assert above.get(h, 0) == max(0, bound - 49)
+        assert sum(shard[h] for shard in counts) < 50 or h in above
+    assert len(above) < len({h for shard in counts for h, n in shard.items() if n >= 5})
+
+
+@pytest.mark.parametrize("held", [0, 30, 10_000])
+def test_units_hide_no_frequent_phrase(spark, held):
+    rows = phrase_rows()
+    docs = spark.createDataFrame([(x or "und", t) for x, t in rows], "lang string, text string").repartition(3)
+    total = sum(len((t or "").encode()) for _, t in rows)
+    every = np.full(1 << 10, 255, np.uint8)
+    found = {r["hash"]: r["above"] for r in collocations.locally_frequent(docs, every, total, 9, 5, 300, held).collect()}
+    hidden = found.pop(None)
+    counted = collocations.counted(docs, every, 9, 5, 300).where("k > 1").collect()
+    assert len(counted) > 20
+    for r in counted:
+        at = np.uint64(0)
+        for i, word in enumerate(r.phrase.split(" ")):
+            own = np.uint64(xxhash.xxh64_intdigest(word.encode(), 1))
+            lang = np.uint64(xxhash.xxh64_intdigest(r.lang.encode(), 2))
+            with np.errstate(over="ignore"):
+                at = collocations._mixed(collocations._mixed(lang) ^ own) if i == 0 else collocations._mixed(at * collocations.MIX ^ own)
+        assert found.get(int(at.astype(np.int64)), -hidden - 1) + hidden >= r.f
+
+
 @pytest.mark.parametrize("held, most", [(10_000, 8), (5, 400), (9, 400)])
 def test_a_task_adds_its_counts_before_they_leave_it(held, most):
     rows = [(lang, phrase, k, 1 + i) for i in range(50) for lang in ("en", "und") for phrase, k in (("", 0), ("a", 1), ("a b", 2), ("x\x00y", 1))]
