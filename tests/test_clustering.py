@@ -201,3 +201,18 @@ def test_fits_that_run_out_of_steps_are_reported(spark):
     _, _, df = cloud(spark)
     with pytest.warns(UserWarning, match="not converged"):
         kmeans.fit_all(df, [6], n_init=1, max_iter=1)
+
+
+def test_nearest_centers_of_many_fits():
+    """A row per center; ties go to a fit's first center, and values that are no numbers do not stop it."""
+    rng = np.random.default_rng(1)
+    points = rng.integers(0, 3, (500, 2)).astype(float)
+    fits = [rng.integers(0, 3, (k, 2)).astype(float) for k in (1, 2, 5, 5)]
+    bounds = np.cumsum([0, *[len(f) for f in fits]])
+    hit, costs = kmeans._nearest(points, np.concatenate(fits), bounds)
+    for fit, a, b, cost in zip(fits, bounds, bounds[1:], costs):
+        distance = ((points[:, None, :] - fit[None]) ** 2).sum(2)
+        assert (hit[a:b].argmax(0) == distance.argmin(1)).all() and (hit[a:b].sum(0) == 1).all()
+        assert cost == pytest.approx(distance.min(1).sum())
+    hit, _ = kmeans._nearest(np.array([[np.nan, 1.0]]), fits[2], np.array([0, 5]))
+    assert hit.T.tolist() == [[1.0, 0.0, 0.0, 0.0, 0.0]]
