@@ -216,3 +216,20 @@ def test_nearest_centers_of_many_fits():
         assert cost == pytest.approx(distance.min(1).sum())
     hit, _ = kmeans._nearest(np.array([[np.nan, 1.0]]), fits[2], np.array([0, 5]))
     assert hit.T.tolist() == [[1.0, 0.0, 0.0, 0.0, 0.0]]
+
+
+def test_robust_scaler_searches_once(spark, monkeypatch):
+    """Quartiles are those of the filled values; only features with nulls are searched a second time."""
+    from stallwise.operators import scaling
+
+    rows = [(float(i * i % 37), None if i % 4 == 0 else float(i % 11), float("nan") if i == 3 else float(i)) for i in range(41)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    searched, search = [], scaling.column_quantiles
+    monkeypatch.setattr(scaling, "column_quantiles", lambda d, columns, probs: searched.append(list(columns)) or search(d, columns, probs))
+    fitted = scaling.fit_scaler(df, ["a", "b", "c"])
+    assert searched == [["a", "b", "c"], ["b"]]
+    for i, name in enumerate("abc"):
+        known = np.array([r[i] for r in rows if r[i] is not None and not np.isnan(r[i])])
+        filled = np.concatenate([known, np.full(sum(r[i] is None for r in rows), np.median(known))])
+        assert fitted.fill[name] == np.median(known) and fitted.center[name] == np.median(filled)
+        assert fitted.scale[name] == pytest.approx(np.quantile(filled, 0.75) - np.quantile(filled, 0.25))
