@@ -102,3 +102,22 @@ def test_silhouette_in_strips(spark, monkeypatch):
     assert strips["total"].tolist() == pytest.approx(at_once["total"].tolist(), abs=1e-9)
     cut = {r["id"]: r["sil_sample"] for r in metrics.silhouette_euclidean(points, "id", 10).collect()}
     assert cut == pytest.approx(whole, abs=1e-9)
+
+
+def test_small_groups_keep_numbers_only(spark):
+    """No group holds its values: the states are numbers, rows are sorted and move once."""
+    df = spark.range(1000).selectExpr("id % 300 AS k", "id * 0.5 AS x", "id % 7 AS c")
+    out = Q.aggregate_with_quantiles(df, ["k"], [F.count(F.lit(1)).alias("n")], {"m": ("x", 0.5), "q": ("x", 0.25)}, {"cs": "c"})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    small = plan.split("REPARTITION_BY_COL")[0]
+    assert "percentile(" not in plan and "collect_set(" not in plan and "ObjectHashAggregate" not in small
+
+
+def test_ranked_aggregates_of_odd_values(spark):
+    rows = [("a", None), ("a", float("nan")), ("a", -0.0), ("a", 0.0), ("a", 3.0), ("b", None), ("b", float("nan")),
+            (None, float("inf")), (None, 1.0), ("c", float("-inf")), ("c", -1.0), ("c", -1.0), ("c", 2.5)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    wanted = {"low": ("x", 0.1), "mid": ("x", 0.5), "top": ("x", 1.0)}
+    ranked, aggregates = Q.ranked_aggregates(df, ["k"], wanted, {"xs": "x"})
+    expected = df.groupBy("k").agg(F.size(F.collect_set("x")).cast("long").alias("xs"), *Q.quantile_aggregates(wanted))
+    assert _rows(ranked.groupBy("k").agg(*aggregates)) == _rows(expected)
