@@ -4,7 +4,8 @@ Every round replaces the links of a node by links to the smallest node it knows:
 first for its larger neighbours, then for its smaller ones (large-star and
 small-star, Kiveris et al. 2014). Both are a minimum per node, which aggregates
 map-side, and an equi-join whose skewed partitions Spark splits; the largest node
-set of a component never meets in one task. Each round is written to the shared
+set of a component never meets in one task. The joins ask for a merge join, as files of
+links are far smaller than the rows that a broadcast holds. Each round is written to the shared
 folder, so lineage stays short and lost executors cost one round at most.
 """
 
@@ -41,11 +42,11 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Link the larger neighbours of every node to the smallest node around it."""
     both = links.selectExpr("hi AS x", "lo AS y").unionAll(links.selectExpr("lo AS x", "hi AS y"))
     smallest = both.groupBy("x").agg(F.expr("least(x, min(y)) AS m"))
-    return both.where("y > x").join(smallest, "x").selectExpr("y AS hi", "m AS lo").distinct()
+    return both.where("y > x").join(smallest.hint("merge"), "x").selectExpr("y AS hi", "m AS lo").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Link every node and its smaller neighbours to the smallest of them."""
     smallest = links.groupBy("hi").agg(F.expr("min(lo) AS m"))
-    moved = links.join(smallest, "hi").where("lo <> m").selectExpr("lo AS hi", "m AS lo")
+    moved = links.join(smallest.hint("merge"), "hi").where("lo <> m").selectExpr("lo AS hi", "m AS lo")
     return moved.unionAll(smallest.selectExpr("hi", "m AS lo")).distinct()

@@ -12,6 +12,8 @@ values, not pairs: a lookup survives only if another fingerprint owns the value.
 The members of a slice value are then compared in blocks of ``block`` fingerprints,
 block against block in separate tasks, and each block returns a spanning forest of
 its links, not the links: a group of n near copies costs comparisons, never n^2 rows.
+Joins of fingerprints ask for a merge join: Spark takes exploded rows for as large as
+what they come from, 64 times too small here, and would broadcast them.
 
 Defined results: texts that are null or without words have fingerprint zero and
 link like any other; repeated rows are separate rows of one class; a null id stays
@@ -110,7 +112,7 @@ def spanning_links(fingerprints: DataFrame, max_distance: int = 3, segments: int
             .withColumn("value", _value(segments).bitwiseXOR(F.col("mask")))
             .drop("mask")
         )
-        found = stage(probes.join(owners, keys).select(*keys, "own", "fp"), "probes")
+        found = stage(probes.join(owners.hint("merge"), keys).select(*keys, "own", "fp"), "probes")
         extra = found.groupBy(*keys, "own").agg(F.expr("count(1) AS near"))
     else:
         found = None
@@ -123,7 +125,7 @@ def spanning_links(fingerprints: DataFrame, max_distance: int = 3, segments: int
     if found is not None:
         members = members.unionByName(found.drop("own").withColumn("owner", F.lit(False)))
     cut = f"pmod(xxhash64(fp), CAST(ceil(%s / {block}) AS BIGINT))"
-    placed = members.join(sizes, keys).withColumns({
+    placed = members.join(sizes.hint("merge"), keys).withColumns({
         "r": F.expr(cut % "own"), "c": F.expr(cut % "(own + near)"),
         "rows": F.expr(f"ceil(own / {block}) - 1"), "columns": F.expr(f"ceil((own + near) / {block}) - 1"),
     })
@@ -187,9 +189,9 @@ def components_of(prints: DataFrame, max_distance: int = 3, segments: int = 2) -
     classes = stage(prints.groupBy("fp").agg(F.min("id").alias("first")), "classes")
     links = spanning_links(classes.select("fp"), max_distance, segments)
     roots = connected_components(links).select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = classes.join(roots.hint("merge"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return prints.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp")
+    return prints.join(rooted.join(smallest.hint("merge"), "root").select("fp", "component_id").hint("merge"), "fp")
 
 
 def one_per_component(

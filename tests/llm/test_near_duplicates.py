@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
+from stallwise.llm import components as components_module
 from stallwise.llm import lattice_dedup, simhash
 from stallwise.llm.components import connected_components
 
@@ -85,6 +86,24 @@ def test_links_connect_what_distances_connect(spark, distance, segments, block):
     assert mine == components(len(values), every)
 
 
+def test_fingerprints_and_links_are_not_broadcast(spark, monkeypatch):
+    """Spark takes the exploded probes for as small as the fingerprints and would broadcast them."""
+    planned, stage = [], components_module.stage
+
+    def watched(df, name):
+        planned.append(df._jdf.queryExecution().sparkPlan().toString())
+        return stage(df, name)
+
+    for module in (simhash, components_module):
+        monkeypatch.setattr(module, "stage", watched)
+    docs = spark.range(40).selectExpr("id AS doc_id", "repeat(CAST(id DIV 2 AS STRING), 9) AS text")
+    kept = simhash.one_per_component(docs)
+    planned.append(kept._jdf.queryExecution().sparkPlan().toString())
+    assert kept.count() == 20
+    assert sum("SortMergeJoin" in plan for plan in planned) >= 4
+    assert not [plan for plan in planned if "Broadcast" in plan]
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (None, 3), (200, 201), (201, 200)], "a long, b long")
     found = {r.node: r.component for r in connected_components(links).collect()}
