@@ -209,4 +209,4 @@ def one_per_component(
     key = F.struct(F.col(names[id]).isNull().alias("none"), F.col(names[id]).alias("id"), "row")
     rooted = components_of(table.select(key.alias("id"), "fp"), max_distance, segments)
     kept = rooted.where("id = component_id").select(F.col("id.row").alias("row"))
-    return table.join(kept, "row", "left_semi").select(*[F.col(n).alias(c) for c, n in names.items()])
+    return table.join(kept.hint("merge"), "row", "left_semi").select(*[F.col(n).alias(c) for c, n in names.items()])
