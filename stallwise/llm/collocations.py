@@ -21,9 +21,13 @@ Scale: the bitmap has ``filter_bits`` bits, whatever the corpus (4 MB by default
 is the only thing broadcast. With a fixed support and ever more shards the local
 support falls to one; shards then report all phrases of frequent words, and the
 union is a plain count combined per shard. So the support should grow with the corpus
-where it can. Both passes have a task per core, and a phrase leaves a task once, not once
-per shard, until there are more than a task holds (``held``). Nothing is cut off either
-way. All shuffles are keyed by word or phrase, so a language or phrase that holds a third
+where it can. Where it falls to one, phrases of two words are mined first, and longer ones
+in a further pass, of those pairs only that reach the support everywhere; there are as many
+tasks as shards. Else, and in the count, there is a task per core, and a phrase leaves a task
+once, not once per shard, until there are more than a task holds (``held``). Reports leave a
+task as sorted hashes by part of the hash range, their differences packed in a few bytes, and
+are added up per part; a part's size is bounded by ``PART_BYTES`` of text. Nothing is cut off
+either way. All shuffles are keyed by word or phrase, so a language or phrase that holds a third
 of all words is shared by all tasks; the best phrases of a language are picked in slices
 before its slices meet.
 
@@ -37,6 +41,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -59,6 +64,9 @@ BUCKET = 1 << 15
 OUT_ROWS = 50_000
 # Counts, and hashes of phrases, that a task holds before it passes them on.
 HELD, HELD_HASHES = 1_000_000, 2_000_000
+# Bytes of text for which reports have a part of their own, and parts passed on at once.
+PART_BYTES, PARTS_PER_BATCH = 8 << 20, 256
+CODEC = pa.Codec("zstd", 1)
 
 # What a byte is to the words: part of one, a gap between two, or the end of a piece.
 GAP, END = 1, 2
@@ -124,12 +132,12 @@ class Shard:
         return self
 
     def frequent(
-        self, longest: int, kept: Callable[[np.ndarray, np.ndarray], np.ndarray], words: Callable[[np.ndarray], np.ndarray] | None = None
+        self, longest: int, kept: Callable[[np.ndarray, np.ndarray], np.ndarray], *chosen: Callable[[np.ndarray], np.ndarray]
     ) -> Iterator[tuple]:
         """Level by level ``(k, hashes, counts, lang, first)`` of the phrases that ``kept(hashes, counts)`` lets through.
 
         ``first`` is where a phrase first stands. Longer phrases are looked for where both their parts were kept.
-        With ``words``, that function of the hashes chooses the words.
+        Of the functions of hashes ``chosen``, the first chooses the words, the second the phrases of two.
         """
         n = len(self.word)
         at, ids, distinct = np.arange(n, dtype=np.int32), self.word, len(self.words)
@@ -142,7 +150,7 @@ class Shard:
             else:
                 hashes = _mixed(hashes[number[first]] * MIX ^ self.word_hash[self.word[first + k - 1]])
             counts = np.bincount(ids, minlength=distinct)
-            good = words(hashes) if words and k == 1 else kept(hashes, counts)
+            good = chosen[k - 1](hashes) if k <= len(chosen) else kept(hashes, counts)
             yield k, hashes[good], counts[good], self.word_lang[self.word[first[good]]], first[good]
             if k == longest or not good.any():
                 return
@@ -232,30 +240,107 @@ def frequent_words(texts: DataFrame, support: int, shard_bytes: int) -> DataFram
 
 
 def locally_frequent(
-    texts: DataFrame, words: np.ndarray, total: int, support: int, longest: int, shard_bytes: int, held: int = HELD_HASHES
+    texts: DataFrame, words: np.ndarray, total: int, support: int, longest: int, shard_bytes: int, held: int = HELD_HASHES,
+    pairs: np.ndarray | None = None,
 ) -> DataFrame:
     """``hash``, ``above``: per phrase of two words or more how far its counts, or bounds of them, exceed what units may hide of it.
 
     A unit is what a task mines before it holds too many phrases. Only units where a phrase may be locally frequent
-    add to ``above``. The null hash has the occurrences that all units may hide.
+    add to ``above``. The null hash has the occurrences that all units may hide; phrases that with them stay
+    below the support are left out. With ``pairs``, that bitmap chooses the phrases of two words, and longer ones are reported.
     """
     context = texts.sparkSession.sparkContext
-    shared = context.broadcast(words)
+    shared = context.broadcast((words, pairs))
+    bits, least = part_bits(total), 2 if pairs is None else 3
 
     def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = Unit(support, total)
         for shard in shards(batches, shard_bytes):
             needed = unit.needed(shard.size)
-            levels = shard.frequent(longest, lambda hashes, counts: counts >= needed, lambda hashes: listed(shared.value, hashes))
-            unit.add(shard.size, [(hashes, n - (needed - 1)) for k, hashes, n, _, _ in levels if k > 1])
-            if len(unit.hashes) > held:
-                yield from unit.reported()
-                unit = Unit(support, total)
-        if unit.size:
-            yield from unit.reported()
-
-    found = texts.coalesce(context.defaultParallelism).mapInArrow(mined, "hash long, above long")
-    return found.groupBy("hash").agg(F.sum("above").alias("above"))
+            words, *pairs = (partial(listed, x) for x in shared.value if x is not None)
+            levels = shard.frequent(longest, lambda hashes, counts: counts >= needed, words, *pairs)
+            found = ((hashes, n - (needed - 1)) for k, hashes, n, _, _ in levels if k >= least)
+            # A shard that hides nothing may report level by level, in several units.
+            for size, part in [(shard.size, list(found))] if needed > 1 else _sized(shard.size, found):
+                if needed == 1 and len(unit.hashes) and len(unit.hashes) + sum(len(h) for h, _ in part) > held:
+                    yield from packed(unit.reported(), bits)
+                    unit = Unit(support, total)
+                unit.add(size, part)
+                if len(unit.hashes) > held:
+                    yield from packed(unit.reported(), bits)
+                    unit = Unit(support, total)
+        if unit.size or len(unit.hashes):
+            yield from packed(unit.reported(), bits)
+
+    # Where shards hide nothing, nothing is gained by tasks of many shards.
+    if support * shard_bytes > total:
+        texts = texts.coalesce(context.defaultParallelism)
+    reports = texts.mapInArrow(mined, "part int, hides long, data binary")
+    return reports.groupBy("part").applyInArrow(lambda table: _summed(table, support), "hash long, above long")
+
+
+def _sized(size: int, found: Iterator[tuple]) -> Iterator[tuple[int, list[tuple]]]:
+    """Each level by itself; the first has the size."""
+    yield size, []
+    for level in found:
+        yield 0, [level]
+
+
+def part_bits(total: int) -> int:
+    """Reports are dealt out by so many first bits of the hash: a part for each ``PART_BYTES`` of text."""
+    return max(6, (total // PART_BYTES).bit_length())
+
+
+def packed(report: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """A unit's report by part: what the unit hides once, and its phrases in order, a few bytes each."""
+    hides = next(report)["above"][0].as_py()
+    # The first part hears of every unit.
+    every = np.arange(1 << bits if hides else 1, dtype=np.int32)
+    yield _parts(every, np.full(len(every), hides), [None] * len(every))
+    for batch in report:
+        hashes = batch["hash"].to_numpy().view(np.uint64)
+        order = np.argsort(hashes)
+        hashes, above = hashes[order], batch["above"].to_numpy()[order]
+        edges = np.searchsorted(hashes >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+        # Differences of neighbours; a part's first hash stands whole.
+        gaps = np.diff(hashes, prepend=np.uint64(0))
+        full = np.flatnonzero(np.diff(edges))
+        gaps[edges[full]] = hashes[edges[full]]
+        for at in range(0, len(full), PARTS_PER_BATCH):
+            some = full[at : at + PARTS_PER_BATCH]
+            yield _parts(some.astype(np.int32), np.zeros(len(some), np.int64), [_pack(gaps[edges[p] : edges[p + 1]], above[edges[p] : edges[p + 1]]) for p in some])
+
+
+def _parts(part: np.ndarray, hides: np.ndarray, data: list[bytes | None]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(part), pa.array(hides.astype(np.int64)), pa.array(data, pa.binary())], ["part", "hides", "data"])
+
+
+def _pack(gaps: np.ndarray, above: np.ndarray) -> bytes:
+    """Numbers byte by byte, highest bytes and all, so that the many zeros are next to each other."""
+    both = np.concatenate([gaps, above.astype(np.uint64)]).view(np.uint8).reshape(2, -1, 8).transpose(0, 2, 1).tobytes()
+    return len(gaps).to_bytes(8, "little") + CODEC.compress(both, asbytes=True)
+
+
+def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    both = np.frombuffer(CODEC.decompress(data[8:], 16 * n, asbytes=True), np.uint8).reshape(2, 8, n)
+    gaps, above = np.ascontiguousarray(both.transpose(0, 2, 1)).view(np.uint64)[..., 0]
+    return gaps.cumsum(dtype=np.uint64), above.astype(np.int64)
+
+
+def _summed(table: pa.Table, support: int) -> pa.Table:
+    """A part's phrases that may be frequent, of all units; the first part adds what they all hide."""
+    hidden = pc.sum(table["hides"]).as_py()
+    reports = [_unpack(d.as_py()) for d in table["data"] if d.is_valid]
+    hashes, above = (np.concatenate([np.empty(0, kind), *x]) for kind, x in zip((np.uint64, np.int64), zip(*reports) if reports else ((), ())))
+    del reports
+    order = np.argsort(hashes)
+    hashes, above = hashes[order], above[order]
+    first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    sums = np.add.reduceat(above, first) if len(first) else above
+    good = sums + hidden >= support
+    rows = pa.table({"hash": hashes[first][good].view(np.int64), "above": sums[good]})
+    return rows if table["part"][0].as_py() else pa.concat_tables([pa.table({"hash": pa.array([None], pa.int64()), "above": [hidden]}), rows])
 
 
 class Unit:
@@ -276,8 +361,12 @@ class Unit:
     def add(self, size: int, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """A shard of ``size`` bytes with its hashes and counts above what it may hide."""
         self.size += size
-        self.hidden += self.needed(size) - 1
-        parts = [(self.hashes, self.above), *found]
+        self.hidden += max(0, self.needed(size) - 1)
+        parts = [(h, n) for h, n in [(self.hashes, self.above), *found] if len(h)]
+        if len(parts) < 2:
+            # Nothing to add up.
+            self.hashes, self.above = parts[0] if parts else (self.hashes, self.above)
+            return
         at, self.hashes = pd.factorize(np.concatenate([h for h, _ in parts]))
         sums = np.zeros(len(self.hashes), np.int64)
         np.add.at(sums, at, np.concatenate([n for _, n in parts]).astype(np.int64))
@@ -285,7 +374,7 @@ class Unit:
 
     def reported(self) -> Iterator[pa.RecordBatch]:
         """``hash``, ``above``, and by the null hash what the unit may hide."""
-        hides = self.needed(self.size) - 1
+        hides = max(0, self.needed(self.size) - 1)
         above = self.above + (self.hidden - hides)
         good = above > 0
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([hides])], ["hash", "above"])
@@ -360,9 +449,19 @@ def frequent_phrases(
     # Partitions smaller than a shard are mined together: the same shards, however the input is dealt.
     texts = texts.coalesce(max(1, -(-total // shard_bytes)))
     words = bitmap(frequent_words(texts, support, shard_bytes), filter_bits)
-    found = stage(locally_frequent(texts, words, max(total, 1), support, longest, shard_bytes), "locally-frequent")
-    hidden = found.where("hash IS NULL").agg(F.coalesce(F.sum("above"), F.lit(0))).first()[0]
-    phrases = bitmap(found.where("hash IS NOT NULL").where(F.col("above") + hidden >= support).select("hash"), filter_bits)
+
+    def mined(longest: int, size: int, pairs: np.ndarray | None = None) -> np.ndarray:
+        found = locally_frequent(texts, words, max(total, 1), support, longest, size, pairs=pairs)
+        return bitmap(found.where("hash IS NOT NULL").select("hash"), filter_bits)
+
+    if support * shard_bytes > total:
+        phrases = mined(longest, shard_bytes)
+    else:
+        # Shards prune nothing: phrases of two words are mined first, and in smaller shards, as all that is found is held.
+        size = max(1, shard_bytes // 2)
+        phrases = mined(min(2, longest), size)
+        if longest > 2:
+            phrases = phrases | mined(longest, size, phrases)
     # Smaller shards leave room for the counts that a task holds.
     return stage(counted(texts, words | phrases, support, longest, max(1, shard_bytes // 2)), "phrases")
 

@@ -222,6 +222,26 @@ def test_units_hide_no_frequent_phrase(spark, held):
         assert found.get(int(at.astype(np.int64)), -hidden - 1) + hidden >= r.f
 
 
+def test_reports_of_single_occurrences_are_small(spark, monkeypatch):
+    """Where shards prune nothing, longer phrases are mined of frequent pairs, and a reported hash takes a few bytes."""
+    rng = random.Random(5)
+    letters = [chr(97 + i) for i in range(20)]
+    docs = spark.createDataFrame([("en", " ".join(rng.choices(letters, k=400)) + ". new york city") for _ in range(40)], "lang string, text string")
+    found, mine = [], collocations.locally_frequent
+    monkeypatch.setattr(collocations, "locally_frequent", lambda *a, **b: found.append((b.get("pairs") is not None, mine(*a, **b))) or found[-1][1])
+    phrases = {r.phrase: r.f for r in collocations.frequent_phrases(docs.repartition(2), support=38, longest=4, shard_bytes=400).collect()}
+    assert phrases["new york city"] == 40 and "york city" in phrases
+    assert [longer for longer, _ in found] == [False, True]
+    assert found[1][1].where("hash IS NOT NULL").count() <= 60
+    unit = collocations.Unit(1, 1)
+    hashes = np.array([rng.getrandbits(64) for _ in range(50_000)], np.uint64)
+    unit.add(1, [(hashes, np.ones(len(hashes), np.int64))])
+    reports = list(collocations.packed(unit.reported(), 6))
+    sent = [collocations._unpack(d.as_py()) for batch in reports for d in batch["data"] if d.is_valid]
+    assert (np.concatenate([h for h, _ in sent]) == np.sort(hashes)).all() and (np.concatenate([n for _, n in sent]) == 1).all()
+    assert sum(batch.nbytes for batch in reports) < 8 * len(hashes)
+
+
 @pytest.mark.parametrize("held, most", [(10_000, 8), (5, 400), (9, 400)])
 def test_a_task_adds_its_counts_before_they_leave_it(held, most):
     rows = [(lang, phrase, k, 1 + i) for i in range(50) for lang in ("en", "und") for phrase, k in (("", 0), ("a", 1), ("a b", 2), ("x\x00y", 1))]
